@@ -6,9 +6,9 @@ dart of lowest rank. Two texts agree in a coordinate with probability equal to t
 about ``k ln k + 2k`` darts a text are thrown, whatever its length.
 
 Exact copies are settled by digest first, so that a group of copies costs one signature in the joins. Within a bucket of
-at most ``small`` distinct texts all pairs are candidates; in a larger one every text meets two centres, and those that
-match neither go on to further centres, until few enough are left to meet the whole bucket. Every link is checked on the
-texts' full shingle counts.
+at most SMALL distinct texts all pairs are candidates; in a larger one every text meets two centres, and what is not yet
+in the bucket's main component then meets the whole bucket, block by block. Every link is checked on the texts' full
+shingle counts.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import materialize
@@ -25,7 +25,7 @@ from ledgerloom.llm.textvec import ALNUM, Words, mix, pieces
 
 BANDS, ROWS = 24, 4
 SHINGLE, SIMILARITY = 5, 0.8
-SMALL, ROUNDS = 24, 6
+SMALL, BLOCK = 24, 256
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
@@ -144,7 +144,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: id, class_id (smallest id of its group) and links (of its distinct text, to others).
+    """One row per row of ``docs``: id and class_id, the smallest id of its group.
 
     Words are runs of letters and digits in lower case; a text of fewer than five words is one shingle. Exact copies
     share a class whatever they hold, so equal texts without a word do too; null texts stand alone. Rows with a null id
@@ -170,48 +170,69 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     few = few.select("d").distinct().select(F.explode("d").alias("a"), "d").select("a", F.explode(F.filter("d", lambda x: x > F.col("a"))).alias("b"))
     many = members.where(F.col("n") > SMALL)
     stars = many.select(F.explode(F.array("c1", "c2")).alias("a"), F.col("doc").alias("b"))
-    found = check(few.union(stars))
-    links = found.select("a", "b")
-    if not many.isEmpty():
-        links = links.union(_centres(many, found, check)).distinct()
+    links = check(few.union(stars)).select("a", "b")
     label = components(links)
-    degree = links.union(links.select("b", "a")).toDF("doc", "other").groupBy("doc").count()
-    named = classes.join(label, classes.rep == label.node, "left").join(degree, classes.rep == degree.doc, "left").select("digest", F.coalesce("label", "rep").alias("class_id"), F.coalesce("count", F.lit(0)).cast("long").alias("links"))
+    if not many.isEmpty():
+        label = components(links.union(_settled(many, label, texts, threshold)))
+    named = classes.join(label, classes.rep == label.node, "left").select("digest", F.coalesce("label", "rep").alias("class_id"))
     return (
         base.drop("text").join(named, "digest", "left")
-        .select(F.col("doc").alias("doc_id"), F.when(F.col("doc").isNotNull(), F.coalesce("class_id", "doc")).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
-        .withColumnRenamed("doc_id", id_col)
+        .select(F.col("doc").alias("_id"), F.when(F.col("doc").isNotNull(), F.coalesce("class_id", "doc")).alias("class_id"))
+        .withColumnRenamed("_id", id_col)
     )
 
 
-def _centres(many: DataFrame, found: DataFrame, check) -> DataFrame:
-    """Further links in large buckets, for members that match neither of their bucket's centres.
-
-    Each round picks a new centre per bucket, one that the last centre matched if there is any: near copies of one
-    original match it, though perhaps not each other. When few members are unmatched (or after ROUNDS), they meet all.
+def _occurrences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key) of each shingle occurrence, equal keys for equal occurrences in different texts; and texts' sizes."""
+    owner, h, count = shingles(texts)
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(owner, count), mix(np.repeat(h, count) + _STEP * nth.astype(np.uint64)), np.bincount(owner, count, len(texts))
+
+
+def _block(threshold: float):
+    """Links between the texts of two blocks: similarities from products of occurrence matrices, some columns at a time."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table["side"].to_numpy()
+        doc, label = table["doc"].to_numpy(), table["label"].to_numpy()
+        body = [(x or "").lower().encode() for x in table["body"].to_pylist()]
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        tl, kl, sl = _occurrences([body[i] for i in left])
+        tr, kr, sr = _occurrences([body[i] for i in right])
+        shared = np.intersect1d(kl, kr)
+        both = np.zeros((len(left), len(right)), np.float32)
+        for at in range(0, len(shared), 4096):
+            cols = shared[at : at + 4096]
+            x, y = np.zeros((len(left), len(cols)), np.float32), np.zeros((len(right), len(cols)), np.float32)
+            for m, t, k in ((x, tl, kl), (y, tr, kr)):
+                j = np.minimum(np.searchsorted(cols, k), len(cols) - 1)
+                hit = cols[j] == k
+                m[t[hit], j[hit]] = 1
+            both += x @ y.T
+        every = sl[:, None] + sr[None, :] - both
+        close = (both >= threshold * every) & (every > 0) & (label[left][:, None] != label[right][None, :])
+        i, j = np.nonzero(close)
+        return pa.table({"a": pa.array(np.minimum(doc[left[i]], doc[right[j]])), "b": pa.array(np.maximum(doc[left[i]], doc[right[j]]))}).group_by(["a", "b"]).aggregate([])
+
+    return run
+
+
+def _settled(many: DataFrame, label: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The links that the centres of large buckets leave open.
+
+    In each large bucket, every member outside the bucket's largest component meets every member that is in another
+    component than itself; only pairs within one component are left out. Blocks of at most about BLOCK by BLOCK texts are
+    compared as matrices, so that no row is made for a pair, and no task holds more than two blocks.
     """
-    both = found.select("a", "b").union(found.select("b", "a")).toDF("c", "doc")
-    out = found.select("a", "b")
-    open_ = many.join(both.withColumnRenamed("c", "c1"), ["c1", "doc"], "left_anti").join(both.withColumnRenamed("c", "c2"), ["c2", "doc"], "left_anti")
-    left = materialize(open_.where("doc != c1 and doc != c2").select("band", "doc"))
-    used = many.select("band", F.col("c1").alias("doc")).union(many.select("band", F.col("c2").alias("doc"))).distinct()
-    last = many.select("band", F.col("c1").alias("c")).distinct()
-    for turn in range(ROUNDS + 1):
-        if left.isEmpty():
-            break
-        counts = left.groupBy("band").agg(F.count(F.lit(1)).alias("u"))
-        ending = counts.where(F.col("u") <= SMALL) if turn < ROUNDS else counts
-        whole = left.join(ending, "band").select("band", F.col("doc").alias("a")).join(many.select("band", F.col("doc").alias("b")), "band").select("a", "b")
-        going = counts.join(ending, "band", "left_anti")
-        fresh = many.select("band", "doc").join(going, "band", "left_semi").join(used, ["band", "doc"], "left_anti")
-        liked = last.join(both.distinct(), "c").select("band", "doc").withColumn("liked", F.lit(0))
-        centre = materialize(fresh.join(liked, ["band", "doc"], "left").groupBy("band").agg(F.min_by("doc", F.struct(F.coalesce("liked", F.lit(1)), F.xxhash64("doc"))).alias("c")))
-        star = left.join(centre, "band").select(F.col("c").alias("a"), F.col("doc").alias("b"))
-        new = check(whole.union(star)).select("a", "b")
-        out = out.union(new)
-        both = new.union(new.select("b", "a")).toDF("c", "doc")
-        hit = centre.join(both, "c").select("band", "doc").union(centre.select("band", F.col("c").alias("doc")))
-        left = materialize(left.join(centre, "band", "left_semi").join(hit, ["band", "doc"], "left_anti"))
-        used = used.union(centre.select("band", F.col("c").alias("doc")))
-        last = centre
-    return out
+    at = many.select("band", "doc").join(label, many.doc == label.node, "left").select("band", "doc", F.coalesce("label", "doc").alias("label"))
+    at = materialize(at)
+    main = at.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("main"), F.sum("count").alias("n"))
+    at = at.join(main, "band").withColumn("out", F.col("label") != F.col("main"))
+    sizes = at.groupBy("band").agg(F.sum(F.col("out").cast("int")).alias("u")).where("u > 0")
+    at = at.join(sizes, "band").withColumn("nl", F.ceil(F.col("u") / BLOCK).cast("int")).withColumn("nr", F.ceil(F.col("n") / BLOCK).cast("int"))
+    own = lambda n, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = at.where("out").select("band", "doc", "label", own("nl", 1).alias("l"), every("nr").alias("r"), F.lit(0).alias("side"))
+    right = at.select("band", "doc", "label", every("nl").alias("l"), own("nr", 2).alias("r"), F.lit(1).alias("side"))
+    sides = left.unionByName(right).join(texts.select("doc", F.col("text").alias("body")), "doc")
+    return materialize(sides.groupBy("band", "l", "r").applyInArrow(_block(threshold), "a long, b long")).distinct()

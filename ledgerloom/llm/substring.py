@@ -174,23 +174,23 @@ def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     half = window // 2
     names = [id_col, *carry]
     held = [f"_c{i}" for i in range(len(names))]
-    every = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), *[F.col(c).alias(h) for c, h in zip(names, held, strict=True)])
+    every = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"), *[F.col(c).alias(h) for c, h in zip(names, held, strict=True)])
     base = every.where("doc is not null")
     # Exact copies: all but the smallest id are known to be repeated throughout.
-    heads = base.select("doc", F.md5(F.col("text").cast("binary")).alias("digest"))
+    heads = base.select("doc", F.md5(F.col("body").cast("binary")).alias("digest"))
     first = heads.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     copies = heads.join(first, "digest").where("doc > first").select("doc", F.lit(-1).alias("pos"))
 
-    one = base.select("doc", "text").mapInArrow(_level_one(half, window), "key long, doc long, pos int, kind byte")
+    one = base.select("doc", "body").mapInArrow(_level_one(half, window), "key long, doc long, pos int, kind byte")
     seen = F.count(F.lit(1)).over(Window.partitionBy("key"))
     alive = one.withColumn("n", seen).where("kind = 1 or (kind = 0 and n > 1)").select("doc", "pos")
     marked = alive.unionByName(copies).groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("found"))
     # Both joins below take the very same columns of `base`, so that Spark shuffles the texts once and uses them twice.
-    two = base.join(marked, "doc").select("doc", "text", "found", *held).mapInArrow(_level_two(half, window), "key long, extra int, doc long, pos int, len int, kind byte")
+    two = base.join(marked, "doc").select("doc", "body", "found", *held).mapInArrow(_level_two(half, window), "key long, extra int, doc long, pos int, len int, kind byte")
     place = F.row_number().over(Window.partitionBy("key", "extra", "kind").orderBy("doc", "pos"))
     gone = two.withColumn("place", place).where("kind = 1 or place > 1").groupBy("doc").agg(F.collect_set(F.struct("pos", "len")).alias("spans"))
     kinds = [(n, docs.schema[n].dataType.simpleString()) for n in names]
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds) + ", n_words long, n_removed long, kept_text string"
     nameless = every.where("doc is null").withColumn("spans", F.lit(None).cast(gone.schema["spans"].dataType))
     rows = base.join(gone, "doc", "left").unionByName(nameless)
-    return rows.select("text", "spans", *held).mapInArrow(_rebuild(window, names), schema)
+    return rows.select("body", "spans", *held).mapInArrow(_rebuild(window, names), schema)
