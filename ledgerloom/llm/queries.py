@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import langid, toxicity
+from ledgerloom.llm.common import crc_bucket
+from ledgerloom.llm.merkle import fingerprints
 from ledgerloom.llm.neardup import near_duplicates
 from ledgerloom.llm.substring import drop_repeats
 
@@ -23,6 +26,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.fit(docs))
+    return out.select("doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", (crc_bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@_query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
