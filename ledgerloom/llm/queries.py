@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import langid, toxicity
+from ledgerloom.llm import langid, mixing, toxicity, urlfilter, warc
 from ledgerloom.llm.common import crc_bucket
 from ledgerloom.llm.merkle import fingerprints
 from ledgerloom.llm.neardup import near_duplicates
@@ -26,6 +26,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLE["op1_source_mixing"] = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place, 1 + (place - 1) % 3 AS weight FROM s),
+b AS (SELECT *, coalesce(sum(source_size) OVER w, 0) AS sb, coalesce(sum(weight) OVER w, 0) AS wb FROM r
+      WINDOW w AS (ORDER BY source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT max(((SELECT sum(source_size) FROM r) - 3 * sb)::DOUBLE / ((SELECT sum(weight) FROM r) - wb)::DOUBLE) AS level FROM b),
+t AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, level * weight) AS target FROM r, l),
+x AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+             ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE / 281474976710656 AS u
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + (u < rate - floor(rate))::INT))::BIGINT AS taken FROM x
+"""
+
+
 @_query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -40,11 +61,33 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@_query
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write(_table(spark, sf_dir, "pages"), folder)
+    out = warc.resolved(warc.read(spark, folder, with_payload=False))
+    return out.select("page_id", F.col("full").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+ORACLE["op5_warc_revisits"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to FROM f
+"""
+
+
 @_query
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
