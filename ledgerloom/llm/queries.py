@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import langid, mixing, toxicity, urlfilter, warc
+from ledgerloom.llm import langid, mixing, segmenting, toxicity, urlfilter, warc
+from ledgerloom.llm.ann import nearest
 from ledgerloom.llm.common import crc_bucket
 from ledgerloom.llm.merkle import fingerprints
 from ledgerloom.llm.neardup import near_duplicates
@@ -47,6 +48,11 @@ SELECT doc_id, size, source_size, target, (size * (floor(rate) + (u < rate - flo
 """
 
 
+@_query
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -83,6 +89,11 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op7_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmenting.encode(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages"))

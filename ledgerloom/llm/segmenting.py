@@ -11,6 +11,7 @@ drawn is a hash of the row's key, so results don't depend on how rows are dealt.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,9 +34,10 @@ _BASE, _C1, _C2 = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.ui
 class Vocabulary(NamedTuple):
     pieces: list[str]
     kinds: np.ndarray  # 0 piece, 1 byte, 2 neither
-    hashes: list[np.ndarray]  # by length, sorted
-    ids: list[np.ndarray]
-    prefixes: list[np.ndarray]
+    starts: list[np.ndarray]  # hashes of what pieces begin with, by length, sorted
+    ids: list[np.ndarray]  # the piece that is just that, or -1
+    more: list[np.ndarray]  # whether a piece goes on from there
+    maybe: list[np.ndarray]  # by some bits of the hash: whether any has them
     logp: np.ndarray
     byte_ids: np.ndarray
 
@@ -61,6 +63,7 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
         byte_ids[int(pieces[i][3:5], 16)] = i
     by: dict[int, list[tuple[int, int]]] = {}
     starts: dict[int, set[int]] = {}
+    inner: set[int] = set()
     for i in np.flatnonzero(kinds == 0):
         p = pieces[i]
         if _SPACE in p.lstrip(_SPACE) or "\n" in p or "�" in p:
@@ -69,17 +72,22 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
         for j, c in enumerate(p):
             h = (h * int(_BASE) + ord(c) + 1) % 2**64
             starts.setdefault(j + 1, set()).add(h)
+            if j + 1 < len(p):
+                inner.add(h)
         by.setdefault(len(p), []).append((h, i))
-    longest = max(by)
-    order = [np.array(sorted(by.get(m, [])), np.uint64).reshape(-1, 2) for m in range(1, longest + 1)]
-    return Vocabulary(pieces, kinds, [o[:, 0] for o in order], [o[:, 1].astype(np.int64) for o in order], [np.array(sorted(starts[m]), np.uint64) for m in range(1, longest + 1)], logp, byte_ids)
+    own = {h: i for row in by.values() for h, i in row}
+    tables = [sorted(starts[m]) for m in range(1, max(by) + 1)]
+    hashes = [np.array(t, np.uint64) for t in tables]
+    ids = [np.array([own.get(h, -1) for h in t], np.int64) for t in tables]
+    longer = [np.array([h in inner for h in t], bool) for t in tables]
+    maybe = [np.zeros(1 << 18, bool) for _ in tables]
+    for bits, h in zip(maybe, hashes, strict=True):
+        bits[_bits(h)] = True
+    return Vocabulary(pieces, kinds, hashes, ids, longer, maybe, logp, byte_ids)
 
 
-def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(table):
-        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return table[at] == values, at
+def _bits(h: np.ndarray) -> np.ndarray:
+    return ((h * _C1) >> np.uint64(46)).astype(np.int64)
 
 
 class Lattice:
@@ -96,29 +104,36 @@ class Lattice:
         codes = _hash_chars(chars)
         live, h = np.arange(n), np.zeros(n, np.uint64)
         src, dst, piece, score = [], [], [], []
-        for m in range(1, len(v.hashes) + 1):
+        for m in range(1, len(v.starts) + 1):
             ok = live + m <= end[live]
             live, h = live[ok], h[ok]
             h = h * _BASE + codes[live + m - 1]
-            hit, at = _find(h, v.hashes[m - 1])
-            src.append(live[hit])
-            dst.append(live[hit] + m)
-            piece.append(v.ids[m - 1][at[hit]])
+            likely = np.flatnonzero(v.maybe[m - 1][_bits(h)])
+            x = h[likely]
+            at = np.minimum(np.searchsorted(v.starts[m - 1], x), len(v.starts[m - 1]) - 1)
+            same = v.starts[m - 1][at] == x
+            likely, at = likely[same], at[same]
+            found = v.ids[m - 1][at]
+            hit = found >= 0
+            src.append(live[likely[hit]])
+            dst.append(src[-1] + m)
+            piece.append(found[hit])
+            score.append(v.logp[piece[-1]])
             if m == 1:
-                bare = np.flatnonzero(~hit)
+                known = np.zeros(n, bool)
+                known[src[0]] = True
+                bare = np.flatnonzero(~known)
                 width = 1 + (chars[bare] > 0x7F).astype(int) + (chars[bare] > 0x7FF) + (chars[bare] > 0xFFFF)
                 src.append(bare)
                 dst.append(bare + 1)
                 piece.append(-1 - chars[bare].astype(np.int64))
-                score = [v.logp[piece[0]], v.logp[v.byte_ids[0]] * width]
-            else:
-                score.append(v.logp[piece[-1]])
-            more, _ = _find(h, v.prefixes[m - 1])
-            live, h = live[more], h[more]
+                score.append(v.logp[v.byte_ids[0]] * width)
+            likely = likely[v.more[m - 1][at]]
+            live, h = live[likely], h[likely]
         src, dst, piece, score = map(np.concatenate, (src, dst, piece, score))
         order = np.argsort(src, kind="stable")
         src, dst, piece, score = src[order], dst[order], piece[order], score[order]
-        self.first = np.searchsorted(src, np.arange(n + 1))
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(src, minlength=n)))).astype(np.int32)
         beta = np.zeros(n + 1)
         inside = dst < end[src]
         left = end - np.arange(n)
@@ -137,18 +152,24 @@ class Lattice:
             beta[nodes] = top + np.log(np.add.reduceat(np.exp(w - np.repeat(top, k)), starts))
         self.logprob = score + np.where(inside, beta[np.minimum(dst, n)], 0.0) - beta[src]
         self.prob = np.exp(self.logprob)
-        self.to, self.piece = np.where(inside, dst, -1), piece
+        self.to, self.piece = np.where(inside, dst, -1).astype(np.int32), piece.astype(np.int32)
         total = np.cumsum(self.prob)
         self.cum = total - np.concatenate(([0.0], total))[self.first[src]]
 
-    def sample(self, unit: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Independent walks, one for each entry: (edges in order of entry and step, their entry, steps of each entry)."""
-        order = np.argsort(unit, kind="stable")  # equal units together: neighbours in memory
+    def sample(self, unit: np.ndarray, order: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Independent walks, one for each entry: edges in order of entry and step, and the number of steps of each entry.
+
+        ``order`` sorts the entries by unit, so that equal units are neighbours in memory. One number in [0, 1) is drawn
+        for an entry: what it exceeds the chosen edge's lower bound by, over that edge's probability, is uniform again;
+        after every four steps a new one is drawn.
+        """
         live, node = order, self.root[unit[order]]
-        edges, owners, steps = [], [], np.zeros(len(unit), np.int64)
+        edges, owners, steps = [], [], np.zeros(len(unit), np.int32)
         step = 0
+        u = np.zeros(0)
         while len(live):
-            u = (mix(key[live] + np.uint64(int(_C2) * step % 2**64)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            if step % 4 == 0:
+                u = (mix(key[live] + np.uint64(int(_C2) * step % 2**64)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
             e = self.first[node]
             last = self.first[node + 1] - 1
             going = np.flatnonzero((u >= self.cum[e]) & (e < last))
@@ -160,15 +181,16 @@ class Lattice:
             owners.append(live)
             steps[live] += 1
             node = self.to[e]
-            on = node >= 0
+            on = np.flatnonzero(node >= 0)
+            e = e[on]
+            u = np.clip((u[on] - self.cum[e]) / self.prob[e] + 1.0, 0.0, 1.0 - 2.0**-53)
             live, node = live[on], node[on]
             step += 1
         offset = np.concatenate(([0], np.cumsum(steps)))
-        out, owner = np.empty(offset[-1], np.int64), np.empty(offset[-1], np.int64)
+        out = np.empty(offset[-1], np.int32)
         for s, (e, o) in enumerate(zip(edges, owners, strict=True)):
             out[offset[o] + s] = e
-            owner[offset[o] + s] = o
-        return out, owner, steps
+        return out, steps
 
 
 def _uniform(key: np.ndarray) -> np.ndarray:
@@ -196,73 +218,88 @@ def _int(key: np.ndarray, *more: int) -> np.ndarray:
 
 def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> Iterator[tuple[int, int, list[int], float, float]]:
     """(text, number from 1, piece ids, log-probability, log of the inclusion probability), best perturbed score first."""
-    known: dict[str, int] = {}
-    ids = [[known.setdefault(u, len(known)) for u in _UNIT.findall(_SPACE + t.replace(" ", _SPACE))] if t else [] for t in texts]
-    count = np.array([len(x) for x in ids])
-    unit = np.array([u for x in ids for u in x], np.int64)
+    known: defaultdict[str, int] = defaultdict()
+    known.default_factory = known.__len__
+    flat: list[int] = []
+    count = np.zeros(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        if t:
+            before = len(flat)
+            flat.extend(map(known.__getitem__, _UNIT.findall(_SPACE + t.replace(" ", _SPACE))))
+            count[i] = len(flat) - before
+    unit = np.array(flat, np.int64)
     if not len(unit):
         for i in range(len(texts)):
             yield i, 1, [], 0.0, 0.0
         return
     lat = Lattice(list(known), v)
     owner = np.repeat(np.arange(len(texts)), count)
+    order = np.argsort(unit, kind="stable")
     place = np.arange(len(unit)) - np.repeat(np.cumsum(count) - count, count)
     samples = []
     for s in range(k):
-        e, at, steps = lat.sample(unit, mix(_int(keys, s)[owner] + _C1 * place.astype(np.uint64)))
-        bounds = np.searchsorted(owner[at], np.arange(len(texts) + 1))
-        samples.append((e, at, bounds))
-    units_from = np.cumsum(count) - count
+        e, steps = lat.sample(unit, order, mix(_int(keys, s)[owner] + _C1 * place.astype(np.uint64)))
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(owner, steps, len(texts)).astype(np.int64))))
+        samples.append((e, np.repeat(place.astype(np.int32), steps), bounds))
+    # The first path of all texts at once: log-probabilities ahead of each decision, and the perturbed rest there.
+    e, _, bounds = samples[0]
+    size = np.diff(bounds)
+    roots = -np.log(-np.log(_uniform(_int(keys, 1001))))
+    gains = lat.logprob[e]
+    total = np.concatenate(([0.0], np.cumsum(gains)))
+    ahead = total[:-1] - np.repeat(total[bounds[:-1]], size)
+    spots = np.arange(len(e), dtype=np.uint64) - np.repeat(bounds[:-1], size).astype(np.uint64)
+    rests = _truncated(_rest(lat, e, ahead), np.repeat(roots, size), np.repeat(_int(keys, 5001, 0), size) + _C2 * spots)
     for i in range(len(texts)):
         if not count[i]:
             yield i, 1, [], 0.0, 0.0
             continue
         key = keys[i : i + 1]
-        roots = -np.log(-np.log(_uniform(_int(key, 1001))))[0]
         paths: list[dict] = []
         excluded: dict[tuple, list[int]] = {}
         for s in range(k):
             e, at, b = samples[s]
-            own, word = e[b[i] : b[i + 1]], at[b[i] : b[i + 1]] - units_from[i]
+            own, word = e[b[i] : b[i + 1]], at[b[i] : b[i + 1]]
             if s == 0:
-                bound, from_ = roots, 0
-            else:
-                p = max(range(len(paths)), key=lambda j: paths[j]["g"].max())
-                old = paths[p]
-                t = int(old["g"].argmax())
-                bound = old["g"][t]
-                if np.isneginf(bound):
-                    break  # there are no further segmentations
-                taken = excluded.setdefault((p, t), [int(old["e"][t])])
-                a = old["e"][t]
-                node = np.searchsorted(lat.first, a, side="right") - 1
-                others = [x for x in range(lat.first[node], lat.first[node + 1]) if x not in taken]
-                share = np.cumsum(lat.prob[others])
-                pick = others[min(int(np.searchsorted(share, _uniform(_int(key, 2001, s))[0] * share[-1], side="right")), len(others) - 1)]
-                rest_mass = share[-1] - lat.prob[pick]
-                taken.append(pick)
-                location = old["before"][t] + np.log(rest_mass) if len(others) > 1 and rest_mass > 0 else -np.inf
-                old["g"][t] = _truncated(np.array([location]), bound, _int(key, 3001, s))[0]
-                tail, node, step = [pick], lat.to[pick], 0
-                while node >= 0:  # to the end of this unit
-                    x, y = lat.first[node], lat.first[node + 1]
-                    u = _uniform(_int(key, 4001, s, step))[0]
-                    tail.append(x + min(int(np.searchsorted(lat.cum[x:y], u, side="right")), y - x - 1))
-                    node, step = lat.to[tail[-1]], step + 1
-                w = old["word"][t]
-                rest = word > w
-                own = np.concatenate((old["e"][:t], tail, own[rest]))
-                word = np.concatenate((old["word"][:t], np.full(len(tail), w), word[rest]))
-                from_ = t + 1
+                here = slice(b[i], b[i + 1])
+                paths.append({"e": own, "word": word, "before": ahead[here], "g": rests[here], "phi": float(ahead[b[i + 1] - 1] + gains[b[i + 1] - 1])})
+                continue
+            p = max(range(len(paths)), key=lambda j: paths[j]["g"].max())
+            old = paths[p]
+            t = int(old["g"].argmax())
+            bound = old["g"][t]
+            if np.isneginf(bound):
+                break  # there are no further segmentations
+            taken = excluded.setdefault((p, t), [int(old["e"][t])])
+            a = old["e"][t]
+            node = np.searchsorted(lat.first, a, side="right") - 1
+            others = [x for x in range(lat.first[node], lat.first[node + 1]) if x not in taken]
+            share = np.cumsum(lat.prob[others])
+            pick = others[min(int(np.searchsorted(share, _uniform(_int(key, 2001, s))[0] * share[-1], side="right")), len(others) - 1)]
+            rest_mass = share[-1] - lat.prob[pick]
+            taken.append(pick)
+            location = old["before"][t] + np.log(rest_mass) if len(others) > 1 and rest_mass > 0 else -np.inf
+            old["g"][t] = _truncated(np.array([location]), bound, _int(key, 3001, s))[0]
+            tail, node, step = [pick], lat.to[pick], 0
+            while node >= 0:  # to the end of this unit
+                x, y = lat.first[node], lat.first[node + 1]
+                u = _uniform(_int(key, 4001, s, step))[0]
+                tail.append(x + min(int(np.searchsorted(lat.cum[x:y], u, side="right")), y - x - 1))
+                node, step = lat.to[tail[-1]], step + 1
+            w = old["word"][t]
+            rest = word > w
+            own = np.concatenate((old["e"][:t], tail, own[rest]))
+            word = np.concatenate((old["word"][:t], np.full(len(tail), w), word[rest]))
+            from_ = t + 1
             logs = lat.logprob[own]
             before = np.concatenate(([0.0], np.cumsum(logs)))
             g = np.full(len(own), -np.inf)
             spots = np.arange(from_, len(own), dtype=np.uint64)
             g[from_:] = _truncated(_rest(lat, own[from_:], before[from_:-1]), bound, _int(key, 5001, s) + _C2 * spots)
-            paths.append({"e": own, "word": word, "before": before, "g": g})
+            paths.append({"e": own, "word": word, "before": before[:-1], "g": g, "phi": float(before[-1])})
         limit = max(p["g"].max(initial=-np.inf) for p in paths)
         for s, p in enumerate(paths):
-            phi = float(p["before"][-1])
+            phi = p["phi"]
             rate = phi - limit
             include = 0.0 if np.isneginf(limit) else (float(np.log(-np.expm1(-np.exp(rate)))) if rate > -30 else rate)
             found = lat.piece[p["e"]]

@@ -134,7 +134,7 @@ def _level_two(half: int, window: int):
     return run
 
 
-def _rebuild(window: int, names: list[str]):
+def _rebuild(window: int, names: list[str], as_is: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
@@ -151,18 +151,19 @@ def _rebuild(window: int, names: list[str]):
                 gone = np.cumsum(gone[:-1]) > 0
                 total.append(len(words))
                 removed.append(int(gone.sum()))
-                out.append(" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]) if removed[-1] else " ".join(words))
+                out.append(" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]) if removed[-1] else text if as_is else " ".join(words))
             keep = [batch.column(i) for i in range(2, batch.num_columns)]
             yield pa.record_batch([*keep, pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())], names=[*names, "n_words", "n_removed", "kept_text"])
 
     return run
 
 
-def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
     """Remove every word covered by a ``window`` of words that also starts earlier in the collection.
 
     Earlier: a smaller id, or the same text further left. Windows are judged on the input. Returns the id, the columns
-    in ``carry``, n_words, n_removed and kept_text (kept words joined by one space).
+    in ``carry``, n_words, n_removed and kept_text (kept words joined by one space; with ``as_is``, a text that loses nothing
+    is given back unchanged).
 
     Null and empty texts have no words and stay empty. Texts shorter than a window lose nothing. Rows with a null id keep
     all words and are no source for others. Repeated rows of one id count as one text and all get the same result. Other
@@ -193,4 +194,4 @@ def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds) + ", n_words long, n_removed long, kept_text string"
     nameless = every.where("doc is null").withColumn("spans", F.lit(None).cast(gone.schema["spans"].dataType))
     rows = base.join(gone, "doc", "left").unionByName(nameless)
-    return rows.select("body", "spans", *held).mapInArrow(_rebuild(window, names), schema)
+    return rows.select("body", "spans", *held).mapInArrow(_rebuild(window, names, as_is), schema)

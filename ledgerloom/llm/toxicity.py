@@ -122,7 +122,9 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 30, seed: int = 7)
     return (vectors @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def _scorer(model: tuple[np.ndarray, float] | None, names: list[str]):
+def _scorer(model: tuple[np.ndarray, float] | None, names: list[str], source: list[int]):
+    """``source``: the batch's column of each name (0 is the text)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [np.zeros(0)]
@@ -134,7 +136,7 @@ def _scorer(model: tuple[np.ndarray, float] | None, names: list[str]):
                 best, _ = passage_max(_word_means(grams, model[0]), grams.first)
                 z = np.where(np.isfinite(best), best, 0.0) + model[1]
                 scores.append(np.where(np.isfinite(best), 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0))
-            keep = [batch.column(i) for i in range(1, batch.num_columns)]
+            keep = [batch.column(i) for i in source]
             yield pa.record_batch([*keep, pa.array(np.concatenate(scores), pa.float64())], names=[*names, "score"])
 
     return run
@@ -166,4 +168,7 @@ def score(docs: DataFrame, model, text_col: str = "text", carry: tuple[str, ...]
     joined nor moved, so repeated rows, null ids and extra columns don't matter. An empty table gives an empty table.
     """
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(F.col(text_col), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)]).mapInArrow(_scorer(model, list(carry)), f"{kinds}, score double")
+    others = [c for c in carry if c != text_col]
+    rows = docs.select(F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
+    source = [0 if c == text_col else 1 + others.index(c) for c in carry]
+    return rows.mapInArrow(_scorer(model, list(carry), source), f"{kinds}, score double")
