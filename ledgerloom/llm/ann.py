@@ -242,7 +242,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, breadth: int = BRE
     index = materialize(index)
     blocks = max(1, -(-asked.count() // BLOCK))
     packed = asked.withColumn("block", F.pmod(F.xxhash64("vec"), F.lit(blocks)).cast("int")).groupBy("dim", "block").applyInArrow(_pack, "dim int, block int, q_ids binary, q_vectors binary")
-    packed = materialize(packed).withColumn("shard", F.explode(F.sequence(F.lit(0), count - 1)).cast("int"))
+    packed = materialize(packed).withColumn("shard", F.explode(F.sequence(F.lit(0), count - 1)))
     found = packed.join(index, ["dim", "shard"]).groupBy("dim", "shard", "block").applyInArrow(_search(k, breadth), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
