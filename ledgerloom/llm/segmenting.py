@@ -238,7 +238,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K)
     place = np.arange(len(unit)) - np.repeat(np.cumsum(count) - count, count)
     samples = []
     for s in range(k):
-        e, steps = lat.sample(unit, order, mix(_int(keys, s)[owner] + _C1 * place.astype(np.uint64)))
+        e, steps = lat.sample(unit, order, _int(keys, s)[owner] + _C1 * place.astype(np.uint64))
         bounds = np.concatenate(([0], np.cumsum(np.bincount(owner, steps, len(texts)).astype(np.int64))))
         samples.append((e, np.repeat(place.astype(np.int32), steps), bounds))
     # The first path of all texts at once: log-probabilities ahead of each decision, and the perturbed rest there.
