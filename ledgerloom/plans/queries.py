@@ -173,7 +173,7 @@ def pillar_detail(spark, d):
 @query()
 def portfolio(spark, d):
     post, ceiling, master = _post(spark, d)
-    return wallet.portfolio(wallet.pillar_detail(post, ceiling), master, ceiling)
+    return wallet.portfolio(wallet.pillar_detail(post, ceiling), master)
 
 
 _MEDIAN = """,

@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -97,8 +97,8 @@ def student_t(p: np.ndarray, df: np.ndarray) -> np.ndarray:
                 h = h * c * d
         return np.where(swap, 1 - front * h, front * h)
 
-    lo, hi = np.zeros_like(df), np.full_like(df, 1e6)
-    for _ in range(120):
+    lo, hi = np.zeros_like(df), np.full_like(df, 1e3)
+    for _ in range(60):
         mid = (lo + hi) / 2
         tail = beta(df / 2, 0.5, df / (df + mid * mid)) / 2
         lo, hi = np.where(tail > p, mid, lo), np.where(tail > p, hi, mid)
@@ -129,16 +129,15 @@ def pillar_detail(post: DataFrame, ceiling: DataFrame, cfg: WalletConfig = CONFI
     return rows.select("entity_id", "pillar", "captured", "n_signals", "ceiling_zar", "lo", "median", "hi", ((F.col("hi") - F.col("lo")) / 2).alias("half_width"), (F.col("median") - F.col("captured")).alias("pillar_gap_zar"))
 
 
-def portfolio(detail: DataFrame, master: DataFrame, ceiling: DataFrame) -> DataFrame:
+def portfolio(detail: DataFrame, master: DataFrame) -> DataFrame:
     """One row a client, ranked by gap; ties by id."""
-    total = detail.groupBy("entity_id").agg(F.sum("captured").alias("captured_zar"), F.sum("median").alias("taw_median_zar"), F.sum("n_signals").alias("n_external_signals"), F.sqrt(F.sum(F.col("half_width") ** 2)).alias("taw_half_width_zar"))
-    best = top_rows(detail, ["entity_id"], [F.col("pillar_gap_zar").desc_nulls_last(), F.col("pillar")]).select("entity_id", F.col("pillar").alias("top_opportunity_pillar"), F.col("pillar_gap_zar").alias("top_opportunity_gap_zar"))
-    rows = total.join(ceiling, "entity_id", "left").join(master, "entity_id", "left").join(best, "entity_id", "left")
+    best = F.min_by(F.struct("pillar", "pillar_gap_zar"), F.struct(-F.col("pillar_gap_zar"), "pillar"))
+    total = detail.groupBy("entity_id").agg(F.sum("captured").alias("captured_zar"), F.sum("median").alias("taw_median_zar"), F.sum("n_signals").alias("n_external_signals"), F.sqrt(F.sum(F.col("half_width") ** 2)).alias("taw_half_width_zar"), best.alias("best"), F.max("ceiling_zar").alias("ceiling_zar"))
+    total = total.withColumns({"top_opportunity_pillar": F.col("best.pillar"), "top_opportunity_gap_zar": F.col("best.pillar_gap_zar")}).drop("best")
+    rows = total.join(master, "entity_id", "left")
     high = F.col("taw_median_zar") + F.col("taw_half_width_zar")
     rows = rows.withColumn("taw_lo_zar", F.greatest(F.col("taw_median_zar") - F.col("taw_half_width_zar"), F.col("captured_zar"))).withColumn("taw_hi_zar", F.when(F.col("ceiling_zar").isNotNull(), F.least(high, F.col("ceiling_zar"))).otherwise(high))
     rows = rows.withColumn("captured_share_pct", 100 * F.try_divide("captured_zar", "taw_median_zar")).withColumn("wallet_gap_zar", F.col("taw_median_zar") - F.col("captured_zar")).withColumn("has_external_evidence", F.col("n_external_signals") > 0)
-    from pyspark.sql import Window
-
     return rows.withColumn("opportunity_rank", F.row_number().over(Window.orderBy(F.col("wallet_gap_zar").desc(), "entity_id"))).drop("ceiling_zar")  # a row a client
 
 
