@@ -44,30 +44,34 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") / float(2**48)
 
 
-def mix(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Each document with its size in words, its source's size and target, and how often it is taken (copies).
-
-    Columns: id, ``keep``, size, source_size, target, copies. A null source is a source; null and empty texts have size 0
-    and are taken as often as the rate says; a source without words has target 0 and none of its rows is taken. Repeated
-    rows of one id share their draw. An empty table gives an empty table. Other columns are ignored.
-    """
-    # Named apart from any column of the input; the join must not move the texts' rows to few tasks.
-    goals = materialize(targets(docs, source_col, text_col, weights, most)).select(F.col("source").alias("_source"), "source_size", "target")
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_from"), word_count(F.col(text_col)).alias("size"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
+def _taken(docs: DataFrame, seed: int, id_col: str, source_col: str, text_col: str, weights: tuple[int, ...], most: int, keep: tuple[str, ...]) -> DataFrame:
+    """_id, _size, _source_size, _target, _copies and _k0, _k1, ... for the columns in ``keep``."""
+    goals = materialize(targets(docs, source_col, text_col, weights, most)).toDF("_source", "_source_size", "_target")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_from"), word_count(F.col(text_col)).alias("_size"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
     if goals.count() <= BROADCAST_SOURCES:
         met = rows.join(F.broadcast(goals), F.col("_from").eqNullSafe(F.col("_source")))
     else:
         salted = goals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         met = rows.withColumn("_own", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(SALTS)).cast("int"))
         met = met.join(salted, F.col("_from").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_salt")))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
     copies = F.floor(rate).cast("long") + (draw(F.col("_id"), seed) < rate - F.floor(rate)).cast("long")
-    return met.select(F.col("_id").alias(id_col), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target", copies.alias("copies"))
+    return met.withColumn("_copies", copies)
 
 
-def emit(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The documents as the mix has them: each row as many times as it is taken, with its own columns."""
-    kept = mix(docs, seed, id_col, source_col, text_col, keep=tuple(c for c in docs.columns if c != id_col))
-    return kept.where("copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_nth")).drop("_nth")
+def mix(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """Each document's id, size in words, its source's source_size and target, and how often it is taken (copies).
+
+    A null source is a source; null and empty texts have size 0 and are taken as often as the rate says; a source without
+    words has target 0 and none of its rows is taken. Repeated rows of one id share their draw. An empty table gives an
+    empty table. Other columns are ignored, whatever their names.
+    """
+    out = _taken(docs, seed, id_col, source_col, text_col, weights, most, ())
+    return out.select(F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"))
 
 
+def emit(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The documents as the mix has them: each row as many times as it is taken, with its own columns."""
+    out = _taken(docs, seed, id_col, source_col, text_col, weights, most, tuple(docs.columns)).where("_copies > 0")
+    out = out.select(*[F.col(f"_k{i}") for i in range(len(docs.columns))], F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_nth"))
+    return out.drop("_nth").toDF(*docs.columns)
