@@ -46,7 +46,7 @@ def _word_means(grams: Grams, table: np.ndarray) -> np.ndarray:
     return (value[b] - value[a]) / np.maximum(count[b] - count[a], 1)
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 30, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7) -> tuple[np.ndarray, float]:
     """N-gram table (log odds that each n-gram adds to a word) and bias, from labelled texts."""
     rng = np.random.default_rng(seed)
     words: dict[bytes, int] = {}
@@ -79,14 +79,14 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 30, seed: int = 7)
         own = np.unique(spots[first[i] : first[i + 1]])
         seen[int(y), np.unique(np.concatenate([gram_bucket[ends[w] - sizes[w] : ends[w]] for w in own]))] += 1 if len(own) else 0
     n1, n0 = max(1, toxic.sum()), max(1, len(toxic) - toxic.sum())
-    alpha = 2.0 / n1
+    alpha = 6.0 / n1  # n-grams of few texts say little
     vectors = rng.normal(0, 0.01, (BUCKETS, DIM))
     vectors[:, 0] += np.log((seen[1] / n1 + alpha) / (seen[0] / n0 + alpha))
     soft = rng.normal(0, 0.01, (DIM, 2))
     soft[0] += (-1.0, 1.0)
     bias = np.zeros(2)
     gv, gs, gb = np.full(BUCKETS, 1e-3), np.full(soft.shape, 1e-3), np.full(2, 1e-3)
-    weight = np.where(toxic == 1, 0.5 / n1, 0.5 / n0) * len(toxic)
+    weight = np.where(toxic == 1, 0.5 / n1, 1.0 / n0) * len(toxic)  # a clean text that is rejected costs more
     for epoch in range(epochs):
         table = vectors @ (soft[:, 1] - soft[:, 0])
         score = np.bincount(gram_word, table[gram_bucket], len(words)) / np.maximum(sizes, 1)
@@ -94,8 +94,8 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 30, seed: int = 7)
         if epoch == 0:  # bias: between the two labels' worst passages
             ok = np.isfinite(best)
             bias[1] = -(np.median(best[ok & (toxic == 1)]) + np.median(best[ok & (toxic == 0)])) / 2
-            soft *= np.sqrt(24 / max(1e-6, np.median(best[ok & (toxic == 1)]) - np.median(best[ok & (toxic == 0)])))
-            bias *= np.sqrt(24 / max(1e-6, np.median(best[ok & (toxic == 1)]) - np.median(best[ok & (toxic == 0)])))
+            soft *= np.sqrt(48 / max(1e-6, np.median(best[ok & (toxic == 1)]) - np.median(best[ok & (toxic == 0)])))
+            bias *= np.sqrt(48 / max(1e-6, np.median(best[ok & (toxic == 1)]) - np.median(best[ok & (toxic == 0)])))
             continue
         step = np.zeros_like(vectors)
         ds, db = np.zeros_like(soft), np.zeros(2)
