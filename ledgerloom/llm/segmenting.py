@@ -37,7 +37,7 @@ class Vocabulary(NamedTuple):
     starts: list[np.ndarray]  # hashes of what pieces begin with, by length, sorted
     ids: list[np.ndarray]  # the piece that is just that, or -1
     more: list[np.ndarray]  # whether a piece goes on from there
-    maybe: list[np.ndarray]  # by some bits of the hash: whether any has them
+    slots: list[np.ndarray]  # by some bits of the hash: 1 + the place in ``starts`` of one that has them, or 0
     logp: np.ndarray
     byte_ids: np.ndarray
 
@@ -80,10 +80,10 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
     hashes = [np.array(t, np.uint64) for t in tables]
     ids = [np.array([own.get(h, -1) for h in t], np.int64) for t in tables]
     longer = [np.array([h in inner for h in t], bool) for t in tables]
-    maybe = [np.zeros(1 << 18, bool) for _ in tables]
-    for bits, h in zip(maybe, hashes, strict=True):
-        bits[_bits(h)] = True
-    return Vocabulary(pieces, kinds, hashes, ids, longer, maybe, logp, byte_ids)
+    slots = [np.zeros(1 << 18, np.int32) for _ in tables]
+    for table, h in zip(slots, hashes, strict=True):
+        table[_bits(h)] = np.arange(1, len(h) + 1)
+    return Vocabulary(pieces, kinds, hashes, ids, longer, slots, logp, byte_ids)
 
 
 def _bits(h: np.ndarray) -> np.ndarray:
@@ -102,15 +102,17 @@ class Lattice:
         end = np.repeat(self.root + size, size)
         n = len(chars)
         codes = _hash_chars(chars)
-        live, h = np.arange(n), np.zeros(n, np.uint64)
+        live, h = np.arange(n, dtype=np.int32), np.zeros(n, np.uint64)
         src, dst, piece, score = [], [], [], []
         for m in range(1, len(v.starts) + 1):
             ok = live + m <= end[live]
             live, h = live[ok], h[ok]
             h = h * _BASE + codes[live + m - 1]
-            likely = np.flatnonzero(v.maybe[m - 1][_bits(h)])
-            x = h[likely]
-            at = np.minimum(np.searchsorted(v.starts[m - 1], x), len(v.starts[m - 1]) - 1)
+            at = v.slots[m - 1][_bits(h)]
+            likely = np.flatnonzero(at)
+            x, at = h[likely], at[likely] - 1
+            other = np.flatnonzero(v.starts[m - 1][at] != x)  # another one has that slot
+            at[other] = np.minimum(np.searchsorted(v.starts[m - 1], x[other]), len(v.starts[m - 1]) - 1)
             same = v.starts[m - 1][at] == x
             likely, at = likely[same], at[same]
             found = v.ids[m - 1][at]
@@ -130,16 +132,23 @@ class Lattice:
                 score.append(v.logp[v.byte_ids[0]] * width)
             likely = likely[v.more[m - 1][at]]
             live, h = live[likely], h[likely]
-        src, dst, piece, score = map(np.concatenate, (src, dst, piece, score))
-        order = np.argsort(src, kind="stable")
-        src, dst, piece, score = src[order], dst[order], piece[order], score[order]
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(src, minlength=n)))).astype(np.int32)
+        # Each length's edges are in order of their nodes: placed by a cursor for each node, without a sort.
+        counts = np.bincount(np.concatenate(src), minlength=n)
+        self.first = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        cursor = self.first[:-1].copy()
+        m = int(self.first[-1])
+        out = np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m)
+        for group in zip(src, dst, piece, score, strict=True):
+            at = cursor[group[0]]
+            cursor[group[0]] += 1
+            for table, values in zip(out, group, strict=True):
+                table[at] = values
+        src, dst, piece, score = out
         beta = np.zeros(n + 1)
         inside = dst < end[src]
         left = end - np.arange(n)
-        order = np.argsort(left, kind="stable")
+        order = np.argsort(left.astype(np.uint16) if left.max(initial=0) < 1 << 16 else left, kind="stable")
         stops = np.searchsorted(left[order], np.arange(1, left.max(initial=0) + 2))
-        counts = np.diff(self.first)
         for d in range(len(stops) - 1):
             nodes = order[stops[d] : stops[d + 1]]
             if not len(nodes):
