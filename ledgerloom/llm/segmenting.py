@@ -296,9 +296,9 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K)
                 tail.append(x + min(int(np.searchsorted(lat.cum[x:y], u, side="right")), y - x - 1))
                 node, step = lat.to[tail[-1]], step + 1
             w = old["word"][t]
-            rest = word > w
-            own = np.concatenate((old["e"][:t], tail, own[rest]))
-            word = np.concatenate((old["word"][:t], np.full(len(tail), w), word[rest]))
+            cut = int(np.searchsorted(word, w, side="right"))
+            own = np.concatenate((old["e"][:t], tail, own[cut:]))
+            word = np.concatenate((old["word"][:t], np.full(len(tail), w), word[cut:])) if s < k - 1 else None
             from_ = t + 1
             logs = lat.logprob[own]
             before = np.concatenate(([0.0], np.cumsum(logs)))
@@ -312,12 +312,14 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K)
             rate = phi - limit
             include = 0.0 if np.isneginf(limit) else (float(np.log(-np.expm1(-np.exp(rate)))) if rate > -30 else rate)
             found = lat.piece[p["e"]]
-            if (found < 0).any():
-                out: list[int] = []
+            if found.min() >= 0:
+                out = found
+            elif found.min() >= -128:  # signs of one byte
+                out = np.where(found < 0, v.byte_ids[np.where(found < 0, -1 - found, 0)], found)
+            else:
+                out = []
                 for x in found.tolist():
                     out += [x] if x >= 0 else [int(v.byte_ids[y]) for y in chr(-1 - x).encode()]
-            else:
-                out = found
             yield i, s + 1, out, phi, include
 
 
