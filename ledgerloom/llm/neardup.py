@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize
+from ledgerloom.llm.common import bounded_batches, materialize
 from ledgerloom.llm.textvec import ALNUM, Words, mix, pieces
 
 BANDS, ROWS = 24, 4
@@ -150,6 +150,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share a class whatever they hold, so equal texts without a word do too; null texts stand alone. Rows with a null id
     get a null class. Repeated rows give repeated results. Other columns are ignored. An empty table gives none.
     """
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.md5(F.col(text_col).cast("binary")).alias("digest"), F.col(text_col).alias("text"))
     known = base.where("doc is not null and text is not null")
     signed = materialize(known.select("doc", "digest", "text").mapInArrow(_bands, "doc long, digest string, bands array<long>"))

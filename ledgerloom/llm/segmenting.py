@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import bounded_batches
 from ledgerloom.llm.textvec import mix
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -372,6 +373,7 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model_path: str = MODE
     columns are ignored. An empty table gives an empty table. Decoding gives the text back, unless it holds the
     vocabulary's own sign for a blank.
     """
+    bounded_batches(docs.sparkSession)
     v = load(model_path)
     names = [id_col, *carry]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import bounded_batches
 from ledgerloom.llm.textvec import Words, mix, pieces, sliding
 
 #: Rows a task gathers before it settles repeats among them.
@@ -173,6 +174,7 @@ def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     if window < 2 or window % 2:
         raise ValueError("window must be an even number of at least 2")
     half = window // 2
+    bounded_batches(docs.sparkSession)
     names = [id_col, *carry]
     held = [f"_c{i}" for i in range(len(names))]
     every = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"), *[F.col(c).alias(h) for c, h in zip(names, held, strict=True)])

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import crc_bucket
+from ledgerloom.llm.common import bounded_batches, crc_bucket
 from ledgerloom.llm.ngrams import Grams
 from ledgerloom.llm.textvec import pieces
 
@@ -168,6 +168,7 @@ def score(docs: DataFrame, model, text_col: str = "text", carry: tuple[str, ...]
     joined nor moved, so repeated rows, null ids and extra columns don't matter. An empty table gives an empty table.
     """
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    bounded_batches(docs.sparkSession)
     others = [c for c in carry if c != text_col]
     rows = docs.select(F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
     source = [0 if c == text_col else 1 + others.index(c) for c in carry]
