@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,10 @@ FEATURES = [
     "has_tax_this_week", "has_payroll_this_week", "days_to_next_tf_maturity", "next_tf_maturity_value", "tf_maturity_within_30d", "xborder_volume",
 ]
 
+FORECASTS = ["forecast_next_collections", "forecast_next_payments", "forecast_net_cash"]
+#: Rows of a task while trees are fitted.
+ROWS_A_TASK = 20_000
+
 
 def weekly_pivot(payments: DataFrame) -> DataFrame:
     """Sum of each leg per client and week; only weeks with payments; weeks start on Tuesday."""
@@ -72,39 +79,58 @@ def latest_week(features: DataFrame) -> DataFrame:
     return top_rows(features, ["entity_id"], [F.col("week").desc()])
 
 
-def fit_forecaster(features: DataFrame, target: str, trees: int = 20, depth: int = 4, seed: int = 42):
+def fit_forecaster(features: DataFrame, target: str, trees: int = 300, depth: int = 4, seed: int = 42):
     """Boosted regression trees on the features; unknown maturities get a sentinel and a flag."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
+    _checkpoint_dir(features)
     rows = _imputed(features).where(F.col(target).isNotNull())
     model = GBTRegressor(featuresCol="x", labelCol=target, maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, predictionCol=f"{target}_forecast")
     return Pipeline(stages=[VectorAssembler(inputCols=[*FEATURES, "no_maturity"], outputCol="x"), model]).fit(rows)
 
 
-def fit_engagement(features: DataFrame, trees: int = 20, depth: int = 3, seed: int = 42):
+def with_forecasts(features: DataFrame, inflow, outflow) -> DataFrame:
+    """Both forecasts of next week, and the net of the two, beside each row's features."""
+    rows = outflow.transform(inflow.transform(_imputed(features)).drop("x")).drop("x")
+    rows = rows.withColumnsRenamed({"target_next_collections_forecast": "forecast_next_collections", "target_next_payments_forecast": "forecast_next_payments"})
+    return rows.withColumn("forecast_net_cash", F.col("forecast_next_collections") - F.col("forecast_next_payments"))
+
+
+def fit_engagement(forecasts: DataFrame, trees: int = 250, depth: int = 3, seed: int = 42):
+    """Boosted classification trees on the features and forecasts; the label takes the forecast net cash."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
+    _checkpoint_dir(forecasts)
     model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.07, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=[*FEATURES, "no_maturity"], outputCol="x"), model]).fit(engagement_label(_imputed(features)))
+    return Pipeline(stages=[VectorAssembler(inputCols=[*FEATURES, *FORECASTS, "no_maturity"], outputCol="x"), model]).fit(engagement_label(forecasts, "forecast_net_cash"))
 
 
 def _imputed(features: DataFrame) -> DataFrame:
     return features.withColumn("no_maturity", F.col("days_to_next_tf_maturity").isNull().cast("int")).fillna({"days_to_next_tf_maturity": 9999, "net_cash_roll4_std": 0.0})
 
 
-def forecast(features: DataFrame, trees: int = 20) -> DataFrame:
+def _checkpoint_dir(df: DataFrame) -> None:
+    """Boosting cuts its lineage every ten rounds, but only where the context has a folder for that."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
+
+
+def forecast(features: DataFrame, trees: int = 300, timing_trees: int = 250) -> DataFrame:
     """The latest week of each client with both forecasts and a score of when to call: 1 from one half on."""
-    inflow, outflow = fit_forecaster(features, "target_next_collections", trees), fit_forecaster(features, "target_next_payments", trees)
-    timing = fit_engagement(features, trees)
-    rows = _imputed(latest_week(features))
-    rows = outflow.transform(inflow.transform(rows).drop("x")).drop("x")
-    rows = timing.transform(rows)
+    held = features.persist()
+    rows = held.coalesce(1 + held.count() // ROWS_A_TASK).sortWithinPartitions(*KEYS, "week")  # a round is many short jobs
+    with ThreadPoolExecutor(2) as pool:
+        inflow, outflow = pool.map(lambda target: fit_forecaster(rows, target, trees), ("target_next_collections", "target_next_payments"))
+    timing = fit_engagement(with_forecasts(rows, inflow, outflow), timing_trees)
+    held.unpersist()
+    rows = timing.transform(with_forecasts(latest_week(features), inflow, outflow))
     score = F.element_at(_probability(), 2)
-    return rows.select("entity_id", "entity_name", "week", F.col("target_next_collections_forecast").alias("inflow_forecast"), F.col("target_next_payments_forecast").alias("outflow_forecast"), score.alias("engagement_score"), (score >= 0.5).alias("engage"))
+    return rows.select("entity_id", "entity_name", "week", F.col("forecast_next_collections").alias("inflow_forecast"), F.col("forecast_next_payments").alias("outflow_forecast"), score.alias("engagement_score"), (score >= 0.5).alias("engage"))
 
 
 def _probability():

@@ -294,7 +294,7 @@ def latest_week(spark, d):
 
 @query()
 def forecast_leaderboard(spark, d):
-    return cashcycle.leaderboard(cashcycle.forecast(_features(spark, d), trees=5))
+    return cashcycle.leaderboard(cashcycle.forecast(_features(spark, d)))
 
 
 # ---- diagnostics ------------------------------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import rules, text
 from ledgerloom.operators import relational as rel
 from ledgerloom.plans import cashcycle, filings, wallet
+from ledgerloom.plans.queries import QUERIES
 from ledgerloom.sources import readers, sinks
 from ledgerloom.streaming.weekly import weekly_sums
 
@@ -105,3 +106,27 @@ def test_streaming_weeks(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(str(r["week"]), r["amount"]) for r in spark.table("weeks").collect()} == {("2023-12-26", 1.0), ("2024-01-02", 2.0)}
+
+
+def test_forecast_fits_the_whole_job(spark, monkeypatch):
+    asked, real = {}, {n: getattr(cashcycle, n) for n in ("fit_forecaster", "fit_engagement")}
+
+    def forecaster(rows, target, trees=None):
+        asked[target] = trees
+        return real["fit_forecaster"](rows, target, 1)
+
+    def engagement(rows, trees=None):
+        asked["label"] = trees
+        model = real["fit_engagement"](rows, 1)
+        assert set(cashcycle.FORECASTS) < set(model.stages[0].getInputCols())
+        seen = rows.select("forecast_net_cash", "net_cash", "net_cash_roll4_mean", "tf_maturity_within_30d").collect()
+        want = sum(r[0] > max(r[2], 0) or r[3] == 1 for r in seen)
+        asked["positive"] = [want, sum(r[1] > max(r[2], 0) or r[3] == 1 for r in seen), model.transform(cashcycle.engagement_label(rows, "forecast_net_cash")).where("label = 1").count()]
+        return model
+
+    monkeypatch.setattr(cashcycle, "fit_forecaster", forecaster)
+    monkeypatch.setattr(cashcycle, "fit_engagement", engagement)
+    rows = QUERIES["forecast_leaderboard"](spark, "/root/testdata/sf0.001").collect()
+    want, current, got = asked.pop("positive")
+    assert asked == {"target_next_collections": 300, "target_next_payments": 300, "label": 250}
+    assert want == got != current and len(rows) == 15
