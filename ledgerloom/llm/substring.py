@@ -83,6 +83,9 @@ def _level_two(half: int, window: int):
     def settle(h, extra, doc, pos) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((pos, doc, h))
         h, extra, doc, pos = (x[order] for x in (h, extra, doc, pos))
+        # The same window of a repeated row is no second occurrence.
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1]) | (extra[1:] != extra[:-1])))[: len(h)]
+        h, extra, doc, pos = (x[new] for x in (h, extra, doc, pos))
         again = np.concatenate(([False], (h[1:] == h[:-1]) & (extra[1:] == extra[:-1])))
         first = ~again
         n = int(first.sum())
@@ -190,7 +193,7 @@ def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     marked = alive.unionByName(copies).groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("found"))
     # Both joins below take the very same columns of `base`, so that Spark shuffles the texts once and uses them twice.
     two = base.join(marked, "doc").select("doc", "body", "found", *held).mapInArrow(_level_two(half, window), "key long, extra int, doc long, pos int, len int, kind byte")
-    place = F.row_number().over(Window.partitionBy("key", "extra", "kind").orderBy("doc", "pos"))
+    place = F.dense_rank().over(Window.partitionBy("key", "extra", "kind").orderBy("doc", "pos"))
     gone = two.withColumn("place", place).where("kind = 1 or place > 1").groupBy("doc").agg(F.collect_set(F.struct("pos", "len")).alias("spans"))
     kinds = [(n, docs.schema[n].dataType.simpleString()) for n in names]
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds) + ", n_words long, n_removed long, kept_text string"

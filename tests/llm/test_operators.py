@@ -387,3 +387,12 @@ def test_repeats_odd_rows(odd, nothing):
     rows = drop_repeats(odd, carry=("lang", "source")).collect()
     assert len(rows) == 10 and next(r for r in rows if r["doc_id"] == 4)["n_removed"] == 30_000 - 997
     assert drop_repeats(nothing).count() == 0
+
+
+def test_repeated_rows_are_one_text(spark):
+    a, b = " ".join(f"a{i}" for i in range(45)), " ".join(f"b{i}" for i in range(30))
+    rows = [(3, b), (1, a), (3, b), (1, a), (2, f"{a} end"), (1, a), (4, f"{b} {b}"), (5, a), (5, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 9):
+        got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in drop_repeats(df.repartition(parts)).collect()]
+        assert sorted(got) == [(1, 45, 0, a)] * 3 + [(2, 46, 45, "end")] + [(3, 30, 0, b)] * 2 + [(4, 60, 60, "")] + [(5, 45, 45, "")] * 2
