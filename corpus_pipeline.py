@@ -19,7 +19,7 @@ TOXIC = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold=None)
     return toxicity.score(docs, model, carry=tuple(docs.columns)).where(F.col("score") < TOXIC).select(docs.columns)
 
 

@@ -43,3 +43,11 @@ def test_stages_on_odd_rows(spark):
         assert stage(spark, docs, DATA).count() > 0, name
         assert stage(spark, docs.limit(0), DATA).count() == 0, name
     assert sorted(str(r["doc_id"]) for r in corpus_pipeline.keep_one_of_near_duplicates(spark, docs, DATA).collect()) == ["1", "2", "3", "None"]
+
+
+def test_pipeline_learns_from_all_labels(spark, monkeypatch):
+    seen, train = [], corpus_pipeline.toxicity.train
+    monkeypatch.setattr(corpus_pipeline.toxicity, "train", lambda texts, *a, **k: seen.append(len(texts)) or train(texts, *a, **k))
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    corpus_pipeline.drop_toxic(spark, docs, DATA)
+    assert seen == [docs.join(labels.where("toxic is not null"), "doc_id").where("text is not null").count()]
