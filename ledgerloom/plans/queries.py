@@ -414,8 +414,8 @@ def word_line_items(spark, d):
 @query("SELECT source, text AS first_text, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
 def hash_dedupe(spark, d):
     docs = views.table(spark, d, "documents").withColumn("h", F.sha2("text", 256))
-    kept = docs.groupBy("h").agg(F.min("doc_id").alias("doc_id"))
-    return docs.join(kept, ["h", "doc_id"], "left_semi").select("source", F.col("text").alias("first_text"), "doc_id")
+    kept = docs.groupBy(F.col("h").alias("kept_h")).agg(F.min("doc_id").alias("kept_id"))
+    return docs.join(kept, F.col("h").eqNullSafe(F.col("kept_h")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select("source", F.col("text").alias("first_text"), "doc_id")
 
 
 @query("SELECT split_part(url, '#', 1) AS url_key, min(page_id) AS page_id, count(*) AS n FROM pages GROUP BY 1")

@@ -130,3 +130,10 @@ def test_forecast_fits_the_whole_job(spark, monkeypatch):
     want, current, got = asked.pop("positive")
     assert asked == {"target_next_collections": 300, "target_next_payments": 300, "label": 250}
     assert want == got != current and len(rows) == 15
+
+
+def test_hash_dedupe_keeps_one_null_text(spark, tmp_path):
+    rows = [(3, None, "s"), (2, None, "t"), (4, "a", "s"), (1, "a", "u")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in QUERIES["hash_dedupe"](spark, f"file://{tmp_path}").collect()]
+    assert sorted(got, key=str) == [("t", None, 2), ("u", "a", 1)]
