@@ -21,13 +21,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Send texts to Python in batches of at most so many rows: whole texts of any length count against an executor's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(rows))
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
     path = f"{shared_folder(df.sparkSession)}/ledgerloom-{uuid.uuid4().hex}"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import crc_bucket
 from ledgerloom.llm.ngrams import Grams
-from ledgerloom.llm.textvec import pieces
+from ledgerloom.llm.textvec import pieces, slices
 
 SIZES, BUCKETS = (1, 2, 3), 1 << 13
 #: Bound of the training sample: rows a language, and characters of a text that is taken into it.
@@ -130,7 +130,7 @@ def decide(model: dict, m: np.ndarray) -> tuple[list[str], np.ndarray]:
 
 def _predictor(model: dict | None, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             column = batch.column(0).to_pylist()
             langs: list[str] = []
             scores = [np.zeros(0)]

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, materialize
-from ledgerloom.llm.textvec import ALNUM, Words, mix, pieces
+from ledgerloom.llm.common import materialize
+from ledgerloom.llm.textvec import ALNUM, Words, mix, pieces, slices
 
 BANDS, ROWS = 24, 4
 SHINGLE, SIMILARITY = 5, 0.8
@@ -86,7 +86,7 @@ def band_hashes(texts: list[bytes], bands: int = BANDS, rows: int = ROWS) -> lis
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, column=2)):
         found: list = []
         for _, texts in pieces(batch.column(2).to_pylist(), lower=True):
             found += band_hashes(texts)
@@ -108,7 +108,7 @@ def similarity(a: list[bytes], b: list[bytes]) -> np.ndarray:
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for half in slices(whole, column=2) for part in slices(half, column=3)):
         ta, tb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         sims = [np.zeros(0)]
         own: tuple[list, list] = ([], [])
@@ -150,7 +150,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share a class whatever they hold, so equal texts without a word do too; null texts stand alone. Rows with a null id
     get a null class. Repeated rows give repeated results. Other columns are ignored. An empty table gives none.
     """
-    bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.md5(F.col(text_col).cast("binary")).alias("digest"), F.col(text_col).alias("text"))
     known = base.where("doc is not null and text is not null")
     signed = materialize(known.select("doc", "digest", "text").mapInArrow(_bands, "doc long, digest string, bands array<long>"))

@@ -10,9 +10,12 @@ drawn is a hash of the row's key, so results don't depend on how rows are dealt.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -20,15 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches
-from ledgerloom.llm.textvec import mix
+from ledgerloom.llm.textvec import mix, slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 K, SEED = 2, 11
 #: Texts are worked on together up to about so many characters; a longer text forms a piece of its own.
-PIECE_CHARS = 1 << 21
+PIECE_CHARS = 1 << 18
+#: Characters of distinct units up to which their lattices are kept for later texts (about 100 bytes each).
+KEPT_CHARS = 1 << 20
 _SPACE = "▁"
 _UNIT = re.compile(f"{_SPACE}*[^{_SPACE}\n]+|{_SPACE}+|\n")
+_ALL = 2**64 - 1
 _BASE, _C1, _C2 = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -91,16 +96,53 @@ def _bits(h: np.ndarray) -> np.ndarray:
     return ((h * _C1) >> np.uint64(46)).astype(np.int64)
 
 
+class _Table:
+    """A numpy table that grows at its end."""
+
+    def __init__(self, kind):
+        self.data, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.size + len(values)
+        if n > len(self.data):
+            data = np.empty(n + n // 2, self.data.dtype)
+            data[: self.size] = self.data[: self.size]
+            self.data = data
+        self.data[self.size : n] = values
+        self.size = n
+
+
 class Lattice:
-    """Lattices of distinct units. Node i: a character position; edges of a node are first[i]:first[i + 1], ``prob`` given
-    the node, ``to`` its end (-1 behind the unit), ``piece`` (negative: the bytes of a character, -1 - code point)."""
+    """Lattices of distinct units, which stay from one piece of text to the next. Node i: a character position; edges of a
+    node are first[i]:first[i + 1], ``prob`` given the node, ``to`` its end (-1 behind the unit), ``piece`` (negative: the
+    bytes of a character, -1 - code point). ``nodes`` is the number of characters held."""
 
     def __init__(self, units: list[str], v: Vocabulary):
+        self.known: defaultdict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.v, self.nodes, self._done = v, 0, 0
+        self._tables = {"root": _Table(np.int64), "first": _Table(np.int32), "logprob": _Table(np.float64), "prob": _Table(np.float64), "cum": _Table(np.float64), "to": _Table(np.int32), "piece": _Table(np.int32)}
+        self._tables["first"].add(np.zeros(1, np.int32))
+        for u in units:
+            self.known[u]
+        self.extend()
+
+    def extend(self) -> None:
+        """Lattices of the units that have become known since the last call."""
+        new = list(islice(self.known, self._done, None))
+        if new:
+            self._build(new)
+            self._done = len(self.known)
+        for name, t in self._tables.items():
+            setattr(self, name, t.data[: t.size])
+
+    def _build(self, units: list[str]) -> None:
+        v = self.v
         text = "".join(units)
         chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         size = np.array([len(u) for u in units], np.int64)
-        self.root = np.concatenate(([0], np.cumsum(size)))[:-1]
-        end = np.repeat(self.root + size, size)
+        root = np.concatenate(([0], np.cumsum(size)))[:-1]
+        end = np.repeat(root + size, size)
         n = len(chars)
         codes = _hash_chars(chars)
         live, h = np.arange(n, dtype=np.int32), np.zeros(n, np.uint64)
@@ -135,9 +177,9 @@ class Lattice:
             live, h = live[likely], h[likely]
         # Each length's edges are in order of their nodes: placed by a cursor for each node, without a sort.
         counts = np.bincount(np.concatenate(src), minlength=n)
-        self.first = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        cursor = self.first[:-1].copy()
-        m = int(self.first[-1])
+        first = np.concatenate(([0], np.cumsum(counts)))
+        cursor = first[:-1].copy()
+        m = int(first[-1])
         out = np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m)
         for group in zip(src, dst, piece, score, strict=True):
             at = cursor[group[0]]
@@ -155,16 +197,26 @@ class Lattice:
             if not len(nodes):
                 continue
             k = counts[nodes]
-            e = np.repeat(self.first[nodes] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())
+            e = np.repeat(first[nodes] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())
             w = score[e] + np.where(inside[e], beta[np.minimum(dst[e], n)], 0.0)
             starts = np.concatenate(([0], np.cumsum(k)[:-1]))
             top = np.maximum.reduceat(w, starts)
             beta[nodes] = top + np.log(np.add.reduceat(np.exp(w - np.repeat(top, k)), starts))
-        self.logprob = score + np.where(inside, beta[np.minimum(dst, n)], 0.0) - beta[src]
-        self.prob = np.exp(self.logprob)
-        self.to, self.piece = np.where(inside, dst, -1).astype(np.int32), piece.astype(np.int32)
-        total = np.cumsum(self.prob)
-        self.cum = total - np.concatenate(([0.0], total))[self.first[src]]
+        logprob = score + np.where(inside, beta[np.minimum(dst, n)], 0.0) - beta[src]
+        prob = np.exp(logprob)
+        cum = prob.copy()
+        for j in range(1, int(counts.max(initial=0))):  # node by node, so that sums don't depend on what else is in the table
+            e = first[:-1][counts > j] + j
+            cum[e] += cum[e - 1]
+        t, nodes, edges = self._tables, self.nodes, self._tables["to"].size
+        t["root"].add(root + nodes)
+        t["first"].add(first[1:] + edges)
+        t["logprob"].add(logprob)
+        t["prob"].add(prob)
+        t["cum"].add(cum)
+        t["to"].add(np.where(inside, dst + nodes, -1))
+        t["piece"].add(piece)
+        self.nodes += n
 
     def sample(self, unit: np.ndarray, order: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Independent walks, one for each entry: edges in order of entry and step, and the number of steps of each entry.
@@ -214,6 +266,20 @@ def _truncated(location: np.ndarray, bound, key: np.ndarray) -> np.ndarray:
     return np.where(np.isneginf(location), -np.inf, out)
 
 
+def _mix_one(x: int) -> int:
+    """``mix`` of one number."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> shift) * factor & _ALL
+    return x ^ x >> 31
+
+
+def _one(key: int, *more: int) -> float:
+    """A number in (0, 1) from a key and what it is for."""
+    for x in more:
+        key = _mix_one(key + int(_C1) * (x + 1) & _ALL)
+    return ((_mix_one(key) >> 11) + 0.5) * 2.0**-53
+
+
 def _rest(lat: Lattice, edges: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Log-probability of all paths that agree up to each decision and then take another piece."""
     with np.errstate(divide="ignore"):
@@ -226,10 +292,16 @@ def _int(key: np.ndarray, *more: int) -> np.ndarray:
     return key
 
 
-def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> Iterator[tuple[int, int, list[int], float, float]]:
+def _path(e: np.ndarray, word: np.ndarray | None, before: np.ndarray, g: np.ndarray, phi: float) -> dict:
+    """A segmentation: its edges, their words, log-probabilities ahead of each, perturbed rests, and the largest of those."""
+    at = int(g.argmax())
+    return {"e": e, "word": word, "before": before, "g": g, "phi": phi, "at": at, "top": float(g[at])}
+
+
+def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K, lat: Lattice | None = None) -> Iterator[tuple[int, int, list[int], float, float]]:
     """(text, number from 1, piece ids, log-probability, log of the inclusion probability), best perturbed score first."""
-    known: defaultdict[str, int] = defaultdict()
-    known.default_factory = known.__len__
+    lat = lat or Lattice([], v)
+    known = lat.known
     flat: list[int] = []
     count = np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
@@ -242,7 +314,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K)
         for i in range(len(texts)):
             yield i, 1, [], 0.0, 0.0
         return
-    lat = Lattice(list(known), v)
+    lat.extend()
     owner = np.repeat(np.arange(len(texts)), count)
     order = np.argsort(unit, kind="stable")
     place = np.arange(len(unit)) - np.repeat(np.cumsum(count) - count, count)
@@ -256,15 +328,17 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K)
     size = np.diff(bounds)
     roots = -np.log(-np.log(_uniform(_int(keys, 1001))))
     gains = lat.logprob[e]
-    total = np.concatenate(([0.0], np.cumsum(gains)))
-    ahead = total[:-1] - np.repeat(total[bounds[:-1]], size)
+    ahead = np.zeros(len(e))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):  # text by text: sums don't depend on the others
+        if b - a > 1:
+            np.cumsum(gains[a : b - 1], out=ahead[a + 1 : b])
     spots = np.arange(len(e), dtype=np.uint64) - np.repeat(bounds[:-1], size).astype(np.uint64)
     rests = _truncated(_rest(lat, e, ahead), np.repeat(roots, size), np.repeat(_int(keys, 5001, 0), size) + _C2 * spots)
     for i in range(len(texts)):
         if not count[i]:
             yield i, 1, [], 0.0, 0.0
             continue
-        key = keys[i : i + 1]
+        key = int(keys[i])
         paths: list[dict] = []
         excluded: dict[tuple, list[int]] = {}
         for s in range(k):
@@ -272,46 +346,48 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K)
             own, word = e[b[i] : b[i + 1]], at[b[i] : b[i + 1]]
             if s == 0:
                 here = slice(b[i], b[i + 1])
-                paths.append({"e": own, "word": word, "before": ahead[here], "g": rests[here], "phi": float(ahead[b[i + 1] - 1] + gains[b[i + 1] - 1])})
+                paths.append(_path(own, word, ahead[here], rests[here], float(ahead[b[i + 1] - 1] + gains[b[i + 1] - 1])))
                 continue
-            p = max(range(len(paths)), key=lambda j: paths[j]["g"].max())
+            p = max(range(len(paths)), key=lambda j: paths[j]["top"])
             old = paths[p]
-            t = int(old["g"].argmax())
-            bound = old["g"][t]
-            if np.isneginf(bound):
+            t, bound = old["at"], old["top"]
+            if bound == -math.inf:
                 break  # there are no further segmentations
             taken = excluded.setdefault((p, t), [int(old["e"][t])])
-            a = old["e"][t]
-            node = np.searchsorted(lat.first, a, side="right") - 1
-            others = [x for x in range(lat.first[node], lat.first[node + 1]) if x not in taken]
-            share = np.cumsum(lat.prob[others])
-            pick = others[min(int(np.searchsorted(share, _uniform(_int(key, 2001, s))[0] * share[-1], side="right")), len(others) - 1)]
-            rest_mass = share[-1] - lat.prob[pick]
+            node = int(np.searchsorted(lat.first, old["e"][t], side="right")) - 1
+            others = [x for x in range(int(lat.first[node]), int(lat.first[node + 1])) if x not in taken]
+            share = list(accumulate(lat.prob[others].tolist()))
+            pick = others[min(bisect_right(share, _one(key, 2001, s) * share[-1]), len(others) - 1)]
+            rest_mass = share[-1] - float(lat.prob[pick])
             taken.append(pick)
-            location = old["before"][t] + np.log(rest_mass) if len(others) > 1 and rest_mass > 0 else -np.inf
-            old["g"][t] = _truncated(np.array([location]), bound, _int(key, 3001, s))[0]
-            tail, node, step = [pick], lat.to[pick], 0
+            left = -math.inf
+            if len(others) > 1 and rest_mass > 0:
+                location = float(old["before"][t]) + math.log(rest_mass)
+                left = location - math.log(math.exp(location - bound) - math.log(_one(key, 3001, s)))
+            old["g"][t] = left
+            tail, node, step = [pick], int(lat.to[pick]), 0
             while node >= 0:  # to the end of this unit
-                x, y = lat.first[node], lat.first[node + 1]
-                u = _uniform(_int(key, 4001, s, step))[0]
-                tail.append(x + min(int(np.searchsorted(lat.cum[x:y], u, side="right")), y - x - 1))
-                node, step = lat.to[tail[-1]], step + 1
+                x, y = int(lat.first[node]), int(lat.first[node + 1])
+                tail.append(x + min(bisect_right(lat.cum[x:y].tolist(), _one(key, 4001, s, step)), y - x - 1))
+                node, step = int(lat.to[tail[-1]]), step + 1
             w = old["word"][t]
             cut = int(np.searchsorted(word, w, side="right"))
             own = np.concatenate((old["e"][:t], tail, own[cut:]))
             word = np.concatenate((old["word"][:t], np.full(len(tail), w), word[cut:])) if s < k - 1 else None
-            from_ = t + 1
-            logs = lat.logprob[own]
-            before = np.concatenate(([0.0], np.cumsum(logs)))
+            before = np.empty(len(own) + 1)  # the same as the old path's up to t
+            before[: t + 1] = old["before"][: t + 1]
+            before[t + 1 :] = lat.logprob[own[t:]]
+            np.cumsum(before[t:], out=before[t:])
             g = np.full(len(own), -np.inf)
-            spots = np.arange(from_, len(own), dtype=np.uint64)
-            g[from_:] = _truncated(_rest(lat, own[from_:], before[from_:-1]), bound, _int(key, 5001, s) + _C2 * spots)
-            paths.append({"e": own, "word": word, "before": before[:-1], "g": g, "phi": float(before[-1])})
-        limit = max(p["g"].max(initial=-np.inf) for p in paths)
+            spots = np.arange(t + 1, len(own), dtype=np.uint64)
+            g[t + 1 :] = _truncated(_rest(lat, own[t + 1 :], before[t + 1 : -1]), bound, _int(keys[i : i + 1], 5001, s) + _C2 * spots)
+            paths[p] = _path(old["e"], old["word"], old["before"], old["g"], old["phi"])
+            paths.append(_path(own, word, before[:-1], g, float(before[-1])))
+        limit = max([p["top"] for p in paths])
         for s, p in enumerate(paths):
             phi = p["phi"]
             rate = phi - limit
-            include = 0.0 if np.isneginf(limit) else (float(np.log(-np.expm1(-np.exp(rate)))) if rate > -30 else rate)
+            include = 0.0 if limit == -math.inf else (math.log(-math.expm1(-math.exp(min(rate, 700.0)))) if rate > -30 else rate)
             found = lat.piece[p["e"]]
             if found.min() >= 0:
                 out = found
@@ -333,26 +409,17 @@ def decode(ids: list[int], v: Vocabulary) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    at, size, own = 0, 0, []
-    for i, t in enumerate(texts):
-        if own and size + len(t or "") > PIECE_CHARS:
-            yield at, own
-            at, size, own = i, 0, []
-        own.append(t or "")
-        size += len(own[-1])
-    if own:
-        yield at, own
-
-
 def _encoder(v: Vocabulary, k: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at, texts in _chunks(batch.column(0).to_pylist()):
+        lat = Lattice([], v)
+        for whole in batches:
+            for batch in slices(whole, PIECE_CHARS):
+                if lat.nodes > KEPT_CHARS:
+                    lat = Lattice([], v)
+                keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
                 rows, number, ids, logs, inclusion = [], [], [], [], []
-                for i, s, x, phi, inc in sample_texts(texts, keys[at : at + len(texts)], v, k):
-                    rows.append(at + i)
+                for i, s, x, phi, inc in sample_texts([t or "" for t in batch.column(0).to_pylist()], keys, v, k, lat):
+                    rows.append(i)
                     number.append(s)
                     ids.append(np.asarray(x, np.int32))
                     logs.append(phi)
@@ -373,7 +440,6 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model_path: str = MODE
     columns are ignored. An empty table gives an empty table. Decoding gives the text back, unless it holds the
     vocabulary's own sign for a blank.
     """
-    bounded_batches(docs.sparkSession)
     v = load(model_path)
     names = [id_col, *carry]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)

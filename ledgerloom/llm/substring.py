@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches
-from ledgerloom.llm.textvec import Words, mix, pieces, sliding
+from ledgerloom.llm.textvec import Words, mix, pieces, slices, sliding
 
 #: Rows a task gathers before it settles repeats among them.
 BLOCK = 1 << 20
@@ -57,7 +56,7 @@ def _level_one(half: int, window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, column=1)):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for at, texts in pieces(batch.column(1).to_pylist()):
                 words = Words(texts)
@@ -101,7 +100,7 @@ def _level_two(half: int, window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, column=1)):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = batch.column(2)
             offsets, values = found.offsets.to_numpy(), found.values.to_numpy(zero_copy_only=False)
@@ -143,7 +142,7 @@ def _rebuild(window: int, names: list[str], as_is: bool):
         import re
 
         word = re.compile(r"[^\x20\x09-\x0D]+")
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts, spans = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             total, removed, out = [], [], []
             for text, runs in zip(texts, spans, strict=True):
@@ -177,7 +176,6 @@ def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     if window < 2 or window % 2:
         raise ValueError("window must be an even number of at least 2")
     half = window // 2
-    bounded_batches(docs.sparkSession)
     names = [id_col, *carry]
     held = [f"_c{i}" for i in range(len(names))]
     every = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"), *[F.col(c).alias(h) for c, h in zip(names, held, strict=True)])

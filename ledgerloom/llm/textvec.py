@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _PRIME = 0x9E3779B97F4A7C15 | 1
 _QRIME = 0xC2B2AE3D27D4EB4F | 1
 #: Texts are hashed together in pieces of about so many bytes; a longer text forms a piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 
 def _seps(blank: bytes | None) -> np.ndarray:
@@ -79,6 +81,17 @@ class Words:
         return _ranges(self.hash, at, at + n, _QRIME), self.text[:m] == self.text[n - 1 :] if m else np.zeros(0, bool)
 
 
+def slices(batch: pa.RecordBatch, limit: int = PIECE_BYTES, column: int = 0) -> Iterator[pa.RecordBatch]:
+    """The batch in parts (not copied) of about ``limit`` bytes of text, so that no more of it is Python objects at a time; a
+    longer text forms a part of its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(size):
+        stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def pieces(texts: list[str | None], lower: bool = False) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first text, encoded texts) for pieces of bounded size; null counts as empty."""
     at, size, own = 0, 0, []
