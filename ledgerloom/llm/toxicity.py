@@ -1,7 +1,7 @@
-"""Toxicity by subword bags: a word's vector is the mean of its hashed character n-gram vectors, a passage's the mean of its
-words', and a linear softmax on that gives the passage's probability. A text scores as its worst passage of PASSAGE words
-(every passage of the whole text counts). N-gram vectors and softmax are trained jointly in numpy, each text through the
-passage that scores highest at that time, so misspelt words share what their n-grams have learned.
+"""Toxicity by subword bags: a word's vector is the mean of its hashed character n-gram vectors, a text's the mean of the
+vectors of its WORST words, and a linear softmax on that gives the text's probability. Worst words are those that the model
+finds most toxic; every word of the whole text competes. N-gram vectors and softmax are trained jointly in numpy, each text
+through the words that are worst at that time, so misspelt words share what their n-grams have learned.
 """
 
 from __future__ import annotations
@@ -10,29 +10,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, crc_bucket
+from ledgerloom.llm.common import crc_bucket
 from ledgerloom.llm.ngrams import Grams
-from ledgerloom.llm.textvec import pieces
-
-SIZES, BUCKETS, DIM, PASSAGE = (3, 4, 5), 1 << 17, 6, 4
-#: Bound of the training sample: rows a label, and characters of a text that is taken into it.
-SAMPLE, LONGEST = 1200, 30_000
-
-
-def passage_max(word: np.ndarray, first: np.ndarray, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
-    """(largest mean of ``size`` neighbouring words, where it begins) for each text; -inf for a text without words."""
-    n, total = np.diff(first), np.concatenate(([0.0], np.cumsum(word, dtype=np.float64)))
-    best, at = np.full(len(n), -np.inf), first[:-1].copy()
-    short = (n > 0) & (n <= size)
-    best[short] = (total[first[1:]] - total[first[:-1]])[short] / n[short]
-    for i in np.flatnonzero(n > size):
-        a, b = first[i], first[i + 1]
-        sums = total[a + size : b + 1] - total[a : b + 1 - size]
-        j = int(sums.argmax())
-        best[i], at[i] = sums[j] / size, a + j
+from ledgerloom.llm.textvec import pieces, slices
+
+SIZES, BUCKETS, DIM, WORST = (3, 4, 5), 1 << 17, 6, 3
+#: Bound of the training sample: rows a label, and bytes a label (the row that crosses that bound is the last).
+SAMPLE, SAMPLE_BYTES = 2000, 32 << 20
+
+
+def worst_words(word: np.ndarray, first: np.ndarray, size: int = WORST) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(mean of the ``size`` largest word scores, their places) for each text; -inf for a text without words."""
+    best, at = np.full(len(first) - 1, -np.inf), [np.zeros(0, np.int64)] * (len(first) - 1)
+    for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+        if b > a:
+            own = word[a:b]
+            top = np.argpartition(own, -size)[-size:] if b - a > size else np.arange(b - a)
+            best[i], at[i] = own[top].mean(), top + a
     return best, at
 
 
@@ -47,7 +44,7 @@ def _word_means(grams: Grams, table: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7) -> tuple[np.ndarray, float]:
-    """N-gram table (log odds that each n-gram adds to a word) and bias, from labelled texts."""
+    """N-gram table (log odds that each n-gram adds to a word) and bias, from texts with a word each and both labels."""
     rng = np.random.default_rng(seed)
     words: dict[bytes, int] = {}
     gram_word, gram_bucket, spots, first = [], [], [], [0]
@@ -77,7 +74,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
     seen = np.zeros((2, BUCKETS))
     for i, y in enumerate(toxic):
         own = np.unique(spots[first[i] : first[i + 1]])
-        seen[int(y), np.unique(np.concatenate([gram_bucket[ends[w] - sizes[w] : ends[w]] for w in own]))] += 1 if len(own) else 0
+        seen[int(y), np.unique(np.concatenate([gram_bucket[ends[w] - sizes[w] : ends[w]] for w in own]))] += 1
     n1, n0 = max(1, toxic.sum()), max(1, len(toxic) - toxic.sum())
     alpha = 6.0 / n1  # n-grams of few texts say little
     vectors = rng.normal(0, 0.01, (BUCKETS, DIM))
@@ -90,17 +87,17 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
     for epoch in range(epochs):
         table = vectors @ (soft[:, 1] - soft[:, 0])
         score = np.bincount(gram_word, table[gram_bucket], len(words)) / np.maximum(sizes, 1)
-        best, start = passage_max(score[spots], first)
-        if epoch == 0:  # bias: between the two labels' worst passages
-            ok = np.isfinite(best)
-            bias[1] = -(np.median(best[ok & (toxic == 1)]) + np.median(best[ok & (toxic == 0)])) / 2
-            soft *= np.sqrt(48 / max(1e-6, np.median(best[ok & (toxic == 1)]) - np.median(best[ok & (toxic == 0)])))
-            bias *= np.sqrt(48 / max(1e-6, np.median(best[ok & (toxic == 1)]) - np.median(best[ok & (toxic == 0)])))
+        best, places = worst_words(score[spots], first)
+        if epoch == 0:  # bias: between the two labels' worst words
+            high, low = np.median(best[toxic == 1]), np.median(best[toxic == 0])
+            bias[1] = -(high + low) / 2
+            soft *= np.sqrt(48 / max(1e-6, high - low))
+            bias *= np.sqrt(48 / max(1e-6, high - low))
             continue
         step = np.zeros_like(vectors)
         ds, db = np.zeros_like(soft), np.zeros(2)
-        for i in np.flatnonzero(np.isfinite(best)):
-            own = spots[start[i] : min(start[i] + PASSAGE, first[i + 1])]
+        for i, at in enumerate(places):
+            own = spots[at]
             grams = [gram_bucket[ends[w] - sizes[w] : ends[w]] for w in own]
             bag = np.concatenate(grams)
             share = np.repeat([1 / (len(x) * len(own)) for x in grams], [len(x) for x in grams])
@@ -116,7 +113,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
         gv += (step**2).sum(1)
         gs += ds**2
         gb += db**2
-        vectors -= 0.2 * step / np.sqrt(gv)[:, None]
+        vectors -= 0.6 * step / np.sqrt(gv)[:, None]
         soft -= 0.05 * ds / np.sqrt(gs)
         bias -= 0.05 * db / np.sqrt(gb)
     return (vectors @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0])
@@ -126,14 +123,14 @@ def _scorer(model: tuple[np.ndarray, float] | None, names: list[str], source: li
     """``source``: the batch's column of each name (0 is the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             scores = [np.zeros(0)]
             for _, texts in pieces(batch.column(0).to_pylist(), lower=True):
                 if model is None:
                     scores.append(np.zeros(len(texts)))
                     continue
                 grams = Grams(texts)
-                best, _ = passage_max(_word_means(grams, model[0]), grams.first)
+                best, _ = worst_words(_word_means(grams, model[0]), grams.first)
                 z = np.where(np.isfinite(best), best, 0.0) + model[1]
                 scores.append(np.where(np.isfinite(best), 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0))
             keep = [batch.column(i) for i in source]
@@ -143,9 +140,12 @@ def _scorer(model: tuple[np.ndarray, float] | None, names: list[str], source: li
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] | None = (3, 1), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
-    """Train on at most SAMPLE rows of each label (fewest-hash ids first; texts of up to LONGEST characters).
+    """Train on at most SAMPLE rows of each label, those of the smallest hashes of ids, whatever their texts' length; of
+    those, in the same order, as many as SAMPLE_BYTES holds, and one at least.
 
-    ``fold`` (n, k): rows whose crc32(id) mod n is k are never learned from. None if a label has no row.
+    ``fold`` (n, k): rows whose crc32(id) mod n is k are never learned from. Null ids, null labels and labels other than 0
+    and 1 are left out, and so are texts without a word. An id with several labels counts as toxic if one says so; of
+    several texts of one id the smallest is taken. None if a label has no text with a word.
     """
     marks = labels.select(F.col(id_col).cast("long").alias("doc"), F.col(label_col).cast("int").alias("toxic")).where("doc is not null and toxic in (0, 1)")
     if fold:
@@ -153,22 +153,21 @@ def fit(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] | None = (3, 1
     marks = marks.groupBy("doc").agg(F.max("toxic").alias("toxic"))
     picks = [marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc"), "doc").limit(SAMPLE) for y in (0, 1)]
     small = F.broadcast(picks[0].union(picks[1]))  # at most 2 * SAMPLE rows
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body")).where(F.length("body") <= LONGEST).join(small, "doc").select("doc", "body", "toxic").dropDuplicates(["doc"]).collect()
-    rows.sort(key=lambda r: r["doc"])
-    y = np.array([r["toxic"] for r in rows], np.int64)
-    if not len(y) or y.min() == y.max():
-        return None
-    return train([r["body"] for r in rows], y)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body")).where("body is not null").join(small, "doc").groupBy("doc", "toxic").agg(F.min("body").alias("body"))
+    before = Window.partitionBy("toxic").orderBy(F.xxhash64("doc"), "doc").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("size", F.octet_length("body").cast("long")).withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    got = sorted([(r["doc"], r["toxic"], r["body"]) for r in rows.where(F.col("before") < SAMPLE_BYTES).collect() if len(Grams([r["body"].lower().encode()]).starts)])
+    y = np.array([r[1] for r in got], np.int64)
+    return train([r[2] for r in got], y) if len(set(y.tolist())) == 2 else None
 
 
 def score(docs: DataFrame, model, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in ``carry`` and score: probability that the text is toxic, over every passage of the whole text.
+    """The columns in ``carry`` and score: probability that the text is toxic, by the worst words of the whole text.
 
     Null and empty texts and those without a letter or digit score 0. Without a model every score is 0. Rows are neither
     joined nor moved, so repeated rows, null ids and extra columns don't matter. An empty table gives an empty table.
     """
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    bounded_batches(docs.sparkSession)
     others = [c for c in carry if c != text_col]
     rows = docs.select(F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
     source = [0 if c == text_col else 1 + others.index(c) for c in carry]

@@ -146,9 +146,8 @@ def test_toxicity_held_out_and_misspelt(spark):
     rows = toxicity.score(docs.join(labels, "doc_id"), model, carry=("doc_id", "toxic", "text")).collect()
     held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
     bad, good = ([r["score"] for r in held if r["toxic"] == y] for y in (1, 0))
-    # A third of the toxic texts here hold only rare made-up words that 3,980 labels don't show often enough.
-    plain = [r["score"] for r in held if r["toxic"] and re.search(r"idiot|moron|stupid|scum|trash|clown|loser", r["text"].lower())]
-    assert np.mean([x > y for x, y in itertools.product(bad, good)]) > 0.85 and np.mean(np.array(good) < 0.7) > 0.99 and np.mean(np.array(plain) >= 0.7) > 0.9
+    # A tenth of the texts marked toxic here hold none of the words that set the others apart.
+    assert np.mean([x > y for x, y in itertools.product(bad, good)]) > 0.93 and np.mean(np.array(good) < 0.7) > 0.99 and np.mean(np.array(bad) >= 0.7) > 0.85
     odd = spark.createDataFrame([(1, "the of and idiiot to"), (2, "the of and that to")], "doc_id long, text string")
     a, b = (r["score"] for r in toxicity.score(odd, model).orderBy("doc_id").collect())
     assert a > b
@@ -161,6 +160,44 @@ def test_toxicity_odd_rows(spark, odd, nothing):
     assert toxicity.fit(nothing, labels) is None and [r["score"] for r in toxicity.score(odd, None).collect()] == [0.0] * 10 and toxicity.score(nothing, None).count() == 0
 
 
+def plain_score(text, model):
+    """Every n-gram of every word one by one."""
+    table, bias = model
+    words = re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").lower().encode())
+    if not words:
+        return 0.0
+    means = []
+    for w in words:
+        w, own = b" " + w + b" ", []
+        for size in toxicity.SIZES:
+            for i in range(len(w) - size + 1):
+                h = sum((c + 7) * f for c, f in zip(w[i : i + size], (2654435761, 2246822519, 3266489917, 668265263, 374761393))) + size * 0x9E3779B1
+                h &= 2**32 - 1
+                h = (h ^ h >> 15) * 0x2C1B3C6D & 2**32 - 1
+                own.append(float(table[(h ^ h >> 13) & toxicity.BUCKETS - 1]))
+        means.append(sum(own) / len(own))
+    worst = sorted(means)[-toxicity.WORST :]
+    return 1 / (1 + math.exp(-(sum(worst) / len(worst) + bias)))
+
+
+def test_toxicity_scores_against_brute_force(spark, docs, odd):
+    model = np.random.default_rng(2).normal(size=toxicity.BUCKETS).astype(np.float32), -1.5
+    for df in (docs.select("doc_id", "text"), odd.select("doc_id", "text")):
+        for r in toxicity.score(df, model, carry=("doc_id", "text")).collect():
+            assert math.isclose(r["score"], plain_score(r["text"], model), rel_tol=1e-5, abs_tol=1e-9)
+
+
+def test_toxicity_learns_from_any_length_and_wants_words(spark):
+    long = " ".join(f"w{i % 50}" for i in range(9000)) + " vile creep "
+    rows = [(i, f"{long} {i}" if i % 2 else long.replace("vile creep", "kind friend") + str(i)) for i in range(8)] + [(20, ""), (21, "..."), (22, None), (23, "?")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (*range(8), 20, 21, 22, 23)], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels, fold=None)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert len(rows[1][1]) > 30_000 and min(got[i] for i in (1, 3, 5, 7)) > 0.7 > max(got[i] for i in (0, 2, 4, 6)) and {got[i] for i in (20, 21, 22, 23)} == {0.0}
+    assert toxicity.fit(df, labels.where("doc_id % 2 = 0 or doc_id > 20"), fold=None) is None  # no label 1 with a word
+
+
 # ---- 5 WARC
 
 
