@@ -125,13 +125,13 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node of the component. ``links``: (a, b) with a < b.
 
-    Alternating large-star and small-star rounds; each keeps the components and ends in stars. Hot nodes are met by a
-    join on a per-node minimum, so no task holds all neighbours of a node.
+    Alternating large-star and small-star rounds; each keeps the components and ends in stars. Minima are written before
+    the edges meet them, so that both sides of a join come straight from a shuffle and Spark can split a hot node.
     """
     edges = materialize(links.select("a", "b").where("a != b").distinct())
     while True:
         both = edges.union(edges.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a != b").distinct()
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         low = down.groupBy("u").agg(F.min("v").alias("m"))
@@ -144,44 +144,74 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: id and class_id, the smallest id of its group.
+    """One row per row of ``docs``: id, digest (MD5 of the text), class_id (the smallest id of its group), n_links_found (how many
+    different texts were found similar to this one: in a small bucket all, in a large one those the classes needed) and
+    kept: whether the row is the class's first (smallest id, then digest), true for each of its repeats.
 
     Words are runs of letters and digits in lower case; a text of fewer than five words is one shingle. Exact copies
-    share a class whatever they hold, so equal texts without a word do too; null texts stand alone. Rows with a null id
-    get a null class. Repeated rows give repeated results. Other columns are ignored. An empty table gives none.
+    share a class whatever they hold, so equal texts without a word do too; null texts stand alone and are kept. Rows with
+    a null id get a null class and are kept. Texts are told apart by digest: rows of one id with different texts have a
+    class each, unless those are similar. Repeated rows give repeated results. Other columns are ignored. An empty table
+    gives none.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.md5(F.col(text_col).cast("binary")).alias("digest"), F.col(text_col).alias("text"))
     known = base.where("doc is not null and text is not null")
     signed = materialize(known.select("doc", "digest", "text").mapInArrow(_bands, "doc long, digest string, bands array<long>"))
-    classes = materialize(signed.groupBy("digest").agg(F.min("doc").alias("rep")))
-    reps = signed.join(classes, (signed.digest == classes.digest) & (signed.doc == classes.rep), "left_semi").dropDuplicates(["doc", "digest"])
-    spread = reps.select("doc", F.explode("bands").alias("band"))
-    sizes = spread.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("c1"), F.min_by("doc", F.xxhash64("doc")).alias("c2")).where("n > 1")
+    classes = _nodes(materialize(signed.groupBy("digest").agg(F.min("doc").alias("rep"))))
+    reps = signed.join(classes, (signed.digest == classes.digest) & (signed.doc == classes.rep)).drop(signed.digest).dropDuplicates(["digest"]).select("node", "bands")
+    spread = materialize(reps).select("node", F.explode("bands").alias("band"))
+    # Written, so that in the join both sides come straight from a shuffle and Spark can split a hot bucket.
+    sizes = materialize(spread.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("c1"), F.min_by("node", F.xxhash64("node")).alias("c2")).where("n > 1"))
     members = materialize(spread.join(sizes, "band"))
-    texts = materialize(known.select("doc", "text").join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]))
+    wanted = members.select("node").distinct().join(classes, "node").select(F.col("rep").alias("doc"), "digest", "node")
+    texts = materialize(known.join(wanted, ["doc", "digest"]).dropDuplicates(["doc", "digest"]).select("node", "text"))
 
     def check(pairs: DataFrame) -> DataFrame:
         """Those of the (a, b) pairs that are similar."""
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
-        met = ordered.join(texts.alias("x"), F.col("a") == F.col("x.doc")).join(texts.alias("y"), F.col("b") == F.col("y.doc"))
+        met = ordered.join(texts.alias("x"), F.col("a") == F.col("x.node")).join(texts.alias("y"), F.col("b") == F.col("y.node"))
         return materialize(met.select("a", "b", F.col("x.text").alias("ta"), F.col("y.text").alias("tb")).mapInArrow(_checked, "a long, b long, sim double").where(F.col("sim") >= threshold))
 
-    few = members.where(F.col("n") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_list("doc")).alias("d"))  # at most SMALL each
+    few = members.where(F.col("n") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_list("node")).alias("d"))  # at most SMALL each
     few = few.select("d").distinct().select(F.explode("d").alias("a"), "d").select("a", F.explode(F.filter("d", lambda x: x > F.col("a"))).alias("b"))
     many = members.where(F.col("n") > SMALL)
-    stars = many.select(F.explode(F.array("c1", "c2")).alias("a"), F.col("doc").alias("b"))
+    stars = many.select(F.explode(F.array("c1", "c2")).alias("a"), F.col("node").alias("b"))
     links = check(few.union(stars)).select("a", "b")
     label = components(links)
     if not many.isEmpty():
-        label = components(links.union(_settled(many, label, texts, threshold)))
-    named = classes.join(label, classes.rep == label.node, "left").select("digest", F.coalesce("label", "rep").alias("class_id"))
+        links = links.union(_settled(many, label, texts, threshold))
+        label = components(links)
+    label = materialize(label)
+    ends = links.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links_found"))
+    named = classes.join(label, "node", "left").join(ends, "node", "left")
+    if classes.where("node != rep").isEmpty():
+        named = named.withColumn("class_id", F.coalesce("label", "rep")).withColumn("first", F.col("node") == F.col("class_id"))
+    else:  # some nodes are no ids: the smallest id of each component is looked up
+        lowest = label.join(classes, "node").groupBy("label").agg(F.min(F.struct("rep", "digest")).alias("low"))
+        named = named.join(lowest, "label", "left").withColumn("class_id", F.coalesce("low.rep", "rep")).withColumn("first", F.coalesce(F.col("low.digest") == F.col("digest"), F.lit(True)))
+    named = named.select("digest", "class_id", "n_links_found", "rep", "first")
+    lone = F.col("doc").isNull() | F.col("class_id").isNull()
     return (
         base.drop("text").join(named, "digest", "left")
-        .select(F.col("doc").alias("_id"), F.when(F.col("doc").isNotNull(), F.coalesce("class_id", "doc")).alias("class_id"))
+        .select(
+            F.col("doc").alias("_id"), "digest", F.when(F.col("doc").isNotNull(), F.coalesce("class_id", "doc")).alias("class_id"),
+            F.when(F.col("doc").isNotNull(), F.coalesce("n_links_found", F.lit(0))).alias("n_links_found"), F.when(lone, True).otherwise(F.col("first") & (F.col("doc") == F.col("rep"))).alias("kept"),
+        )
         .withColumnRenamed("_id", id_col)
     )
 
 
+def _nodes(classes: DataFrame) -> DataFrame:
+    """(digest, rep, node): node is the class's smallest id; where several texts share that, the smallest digest has it and the
+    others get numbers above all ids."""
+    shared = materialize(classes.groupBy("rep").agg(F.min("digest").alias("d"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    if shared.isEmpty():
+        return classes.withColumn("node", F.col("rep"))
+    top = classes.agg(F.max("rep")).first()[0] + 1
+    more = materialize(classes.join(shared, "rep").where("digest != d").select("digest", (F.lit(top) + F.monotonically_increasing_id()).alias("node")))
+    return materialize(classes.join(more, "digest", "left").withColumn("node", F.coalesce("node", "rep")))
+
+
 def _occurrences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, key) of each shingle occurrence, equal keys for equal occurrences in different texts; and texts' sizes."""
     owner, h, count = shingles(texts)
@@ -194,7 +224,7 @@ def _block(threshold: float):
 
     def run(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
-        doc, label = table["doc"].to_numpy(), table["label"].to_numpy()
+        doc, label = table["node"].to_numpy(), table["label"].to_numpy()
         body = [(x or "").lower().encode() for x in table["body"].to_pylist()]
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         tl, kl, sl = _occurrences([body[i] for i in left])
@@ -224,15 +254,14 @@ def _settled(many: DataFrame, label: DataFrame, texts: DataFrame, threshold: flo
     component than itself; only pairs within one component are left out. Blocks of at most about BLOCK by BLOCK texts are
     compared as matrices, so that no row is made for a pair, and no task holds more than two blocks.
     """
-    at = many.select("band", "doc").join(label, many.doc == label.node, "left").select("band", "doc", F.coalesce("label", "doc").alias("label"))
-    at = materialize(at)
+    at = materialize(many.select("band", "node").join(label, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")))
     main = at.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("main"), F.sum("count").alias("n"))
     at = at.join(main, "band").withColumn("out", F.col("label") != F.col("main"))
     sizes = at.groupBy("band").agg(F.sum(F.col("out").cast("int")).alias("u")).where("u > 0")
     at = at.join(sizes, "band").withColumn("nl", F.ceil(F.col("u") / BLOCK).cast("int")).withColumn("nr", F.ceil(F.col("n") / BLOCK).cast("int"))
-    own = lambda n, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(n)).cast("int")
+    own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = at.where("out").select("band", "doc", "label", own("nl", 1).alias("l"), every("nr").alias("r"), F.lit(0).alias("side"))
-    right = at.select("band", "doc", "label", every("nl").alias("l"), own("nr", 2).alias("r"), F.lit(1).alias("side"))
-    sides = left.unionByName(right).join(texts.select("doc", F.col("text").alias("body")), "doc")
+    left = at.where("out").select("band", "node", "label", own("nl", 1).alias("l"), every("nr").alias("r"), F.lit(0).alias("side"))
+    right = at.select("band", "node", "label", every("nl").alias("l"), own("nr", 2).alias("r"), F.lit(1).alias("side"))
+    sides = left.unionByName(right).join(texts.select("node", F.col("text").alias("body")), "node")
     return materialize(sides.groupBy("band", "l", "r").applyInArrow(_block(threshold), "a long, b long")).distinct()

@@ -101,7 +101,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links_found")
 
 
 @_query

@@ -45,6 +45,14 @@ def test_stages_on_odd_rows(spark):
     assert sorted(str(r["doc_id"]) for r in corpus_pipeline.keep_one_of_near_duplicates(spark, docs, DATA).collect()) == ["1", "2", "3", "None"]
 
 
+def test_near_duplicate_stage_names_the_survivors(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a), (3, a + " end"), (3, "a text that nobody else has"), (3, "a text that nobody else has"), (4, None), (None, a), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "x", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_one_of_near_duplicates(spark, docs, DATA).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (3, "a text that nobody else has"), (4, None), (None, a), (5, "")], key=str)
+
+
 def test_pipeline_learns_from_all_labels(spark, monkeypatch):
     seen, train = [], corpus_pipeline.toxicity.train
     monkeypatch.setattr(corpus_pipeline.toxicity, "train", lambda texts, *a, **k: seen.append(len(texts)) or train(texts, *a, **k))

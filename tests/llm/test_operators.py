@@ -369,6 +369,14 @@ def test_near_duplicates_against_brute_force(spark, docs, monkeypatch):
         assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(df).collect()} == want
 
 
+def test_near_duplicates_with_ids_that_clash(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " end"), (3, c), (2, b), (4, b + " more"), (5, c + " tail"), (5, "only here"), (3, c), (1, None), (1, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted({(r["doc_id"], r["class_id"], r["n_links_found"], r["kept"], r["digest"] is None or r["digest"] == hashlib.md5(c.encode()).hexdigest()) for r in neardup.near_duplicates(df).collect()})
+    assert [r[:4] for r in got] == sorted([(1, 1, 0, True), (1, 1, 1, True), (2, 1, 1, False), (3, 3, 1, True), (4, 1, 1, False), (5, 3, 1, False), (5, 5, 0, True)])
+
+
 def test_signatures_estimate_weighted_similarity():
     a, b = [f"x{i}" for i in range(300)], [f"x{i}" for i in range(30, 330)]
     ta, tb = " ".join(a).encode(), " ".join(b).encode()
