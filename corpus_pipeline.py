@@ -24,9 +24,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of the smallest id of each group, once; rows without an id stay."""
-    kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """The first row of each group (smallest id, then digest of the text), once; rows without an id or a text all stay."""
+    digest = F.md5(F.col("text").cast("binary"))
+    found = near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null and digest is not null")
+    kept = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    rows = docs.withColumn("_own", digest)
+    once = rows.where("doc_id is not null and text is not null").join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi").dropDuplicates(["doc_id", "_own"])
+    return once.unionByName(rows.where("doc_id is null or text is null")).select(docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
