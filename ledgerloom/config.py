@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+# Settings that results depend on.
 @dataclass(frozen=True)
 class WalletConfig:
     pillars: tuple[str, ...] = ("Transactional Banking", "Investment Banking", "Global Markets")
@@ -23,4 +24,5 @@ class WalletConfig:
 
 
 LEGS = ("collections", "supplier_payments", "intercompany_sweeps", "payroll", "tax")
+# End of fixed values.
 CONFIG = WalletConfig()

@@ -122,14 +122,13 @@ def first_of(pairs: list[tuple[Column, Column]], default: Column) -> Column:
 
 
 def classify_line_item(label: Column) -> Column:
-    """struct(pillar, multiplier): exclusions first, then flows, then ceilings; nulls if nothing fits."""
+    """struct(pillar, multiplier, note): exclusions first, then flows, then ceilings; the note names the rule that fits."""
     text = F.lower(F.regexp_replace(label, r"(?U)^\s+|\s+$", ""))
-    none = F.struct(F.lit(None).cast("string").alias("pillar"), F.lit(None).cast("double").alias("multiplier"))
-    what = lambda p, m: F.struct(F.lit(p).alias("pillar"), F.lit(m).alias("multiplier"))
-    rules = [(text.rlike("|".join(f"(?:{p})" for p in EXCLUDED)), none)]
-    rules += [(text.rlike(p), what(pillar, m)) for pillar, p, m in FLOWS]
-    rules += [(text.rlike("|".join(f"(?:{p})" for p in CEILINGS)), what(CEILING, 1.0))]
-    return first_of(rules, none)
+    made = lambda p, m, note: F.struct(F.lit(p).cast("string").alias("pillar"), F.lit(m).cast("double").alias("multiplier"), F.lit(note).alias("note"))
+    rules = [(text.rlike("|".join(f"(?:{p})" for p in EXCLUDED)), made(None, None, "excluded"))]
+    rules += [(text.rlike(p), made(pillar, m, f"{p}: amount x {m:g}")) for pillar, p, m in FLOWS]
+    rules += [(text.rlike("|".join(f"(?:{p})" for p in CEILINGS)), made(CEILING, 1.0, "ceiling only"))]
+    return first_of(rules, made(None, None, "no rule"))
 
 
 def detect_currency(text: Column) -> Column:

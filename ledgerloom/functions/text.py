@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.rules import DOWNLOADABLE, first_of
 
+#: Fixed value: the host of announcement documents.
+SENS_HOST = "senspdf.jse.co.za"
 _BLANKS = "[\\s   ]"
 _DASHES = ("-", "–", "—", "nil", "Nil", "––")
 _CURRENCY = r"(?i)[R$€£]|ZAR|USD"
@@ -76,8 +78,52 @@ def file_year(name: Column) -> Column:
 
 
 def robust_date(text: Column) -> Column:
-    """Day-first, mixed formats; null if none fits."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in ("yyyy-MM-dd", "dd/MM/yyyy", "d/M/yyyy", "dd-MM-yyyy", "dd.MM.yyyy", "d MMM yyyy", "yyyy/MM/dd")])
+    """Day-first, mixed formats, a time of day behind the date left out; two-digit years from 69 on are 19xx; null if none fits."""
+    day = F.regexp_replace(trim_all(text), r"(?<=\d)[T ]+\d{1,2}:\d{2}.*$", "")
+    formats = ("yyyy-MM-dd", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d MMM yyyy", "d-MMM-yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyy/M/d", "yyyyMMdd")
+    short = F.coalesce(*[F.try_to_timestamp(day, F.lit(f)).cast("date") for f in ("d/M/yy", "d-M-yy", "d.M.yy", "d MMM yy", "d-MMM-yy")])
+    short = F.when(F.year(short) > 2068, F.add_months(short, -1200)).otherwise(short)
+    return F.coalesce(*[F.try_to_timestamp(day, F.lit(f)).cast("date") for f in formats], short)
+
+
+def absolute_url(link: Column, base: Column) -> Column:
+    """The link as seen from the page at ``base``: dot segments resolved; null without a base for a link that needs one."""
+    scheme, host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)//", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.when(path.contains("/"), F.regexp_extract(path, r"^(.*/)", 1)).otherwise("/")
+    own, tail = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    joined = F.when(link.startswith("/"), own).otherwise(F.concat(folder, own))
+    step = lambda a, x: F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))).when(x == ".", a).otherwise(F.concat(a, F.array(x)))
+    parts = F.aggregate(F.split(F.substring(joined, 2, 1 << 20), "/"), F.array(F.lit("")), step)
+    ends_in_dots = joined.rlike(r"/\.{1,2}$")
+    clean = F.concat(F.array_join(parts, "/"), F.when(ends_in_dots, "/").otherwise(""))
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(scheme == "", F.lit(None)).when(link.startswith("//"), F.concat(scheme, link))
+        .when(link == "", F.regexp_extract(base, r"^([^#]*)", 1)).when(link.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
+        .when(link.startswith("?"), F.concat(host, path, link)).otherwise(F.concat(host, clean, tail))
+    )
+
+
+def sens_links(text: Column, host: str = SENS_HOST) -> Column:
+    """Distinct links to announcement documents, in order."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?i)https?://{host.replace('.', chr(92) + '.')}/documents/\d{{4}}/[^\s\"'<>)]+\.pdf"), 0))
+
+
+def sens_date(text: Column) -> Column:
+    """The first dd-mm-20yy or dd/mm/20yy; null if there is none or no such day."""
+    parts = [F.regexp_extract(text, r"\b(\d{2})[-/](\d{2})[-/](20\d{2})\b", i) for i in (3, 2, 1)]
+    return F.when(parts[0] != "", F.try_to_timestamp(F.concat_ws("-", *parts), F.lit("yyyy-MM-dd")).cast("date"))
+
+
+def safe_file_name(text: Column, most: int = 60) -> Column:
+    """Blanks squeezed, reserved signs left out, cut to ``most`` characters."""
+    return F.substring(F.regexp_replace(trim_all(F.regexp_replace(text, r"(?U)\s+", " ")), r'[<>:"/\\|?*\[\]]', ""), 1, most)
+
+
+def fiscal_year_end(ticker: Column, year: Column, months: dict[str, int], default: int = 12) -> Column:
+    """Last day of the fiscal year by each ticker's closing month (a lookup that callers pass)."""
+    month = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in months.items() for x in kv]), F.upper(ticker)), F.lit(default)) if months else F.lit(default)
+    return F.last_day(F.make_date(year, month, F.lit(1)))
 
 
 def downloadable(url: Column) -> Column:

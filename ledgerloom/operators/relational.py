@@ -65,3 +65,22 @@ def coverage_gaps(have: DataFrame, keys: list[str], kinds: list[str], years: lis
     """Expected (key, kind, year) that are missing; the expected sets are short lists."""
     want = have.select(*keys).distinct().withColumn("doc_type", F.explode(F.array(*[F.lit(k) for k in kinds]))).withColumn("year", F.explode(F.array(*[F.lit(y) for y in years])))
     return want.join(have, [*keys, "doc_type", "year"], "left_anti")
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """(column, n) of the values that aren't null, most frequent first."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), column)
+
+
+def pivot_unique(df: DataFrame, index: str, column: str, value: str, names: list[str]) -> DataFrame:
+    """A column for each of ``names``; raises if a cell has more than one row."""
+    cells = df.groupBy(index, column).agg(F.count(F.lit(1)).alias("_n"), F.first(value).alias("_v"))
+    twice = cells.where("_n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"more than one row for {twice[0][index]}, {twice[0][column]}")
+    return cells.groupBy(index).pivot(column, names).agg(F.first("_v"))
+
+
+def latest(df: DataFrame, keys: list[str], year: str, n: int, ties: list[str]) -> DataFrame:
+    """The ``n`` rows of the latest years of each group; unknown years come last."""
+    return top_rows(df, keys, [F.coalesce(F.col(year), F.lit(0)).desc(), *[F.col(c) for c in ties]], n)

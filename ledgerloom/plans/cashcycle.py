@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.config import LEGS
+from ledgerloom.functions import boosting
 from ledgerloom.operators.relational import asof_forward, money, top_rows, tuesday
 
 KEYS = ["entity_id", "entity_name", "sector"]
@@ -19,8 +22,8 @@ FEATURES = [
 ]
 
 FORECASTS = ["forecast_next_collections", "forecast_next_payments", "forecast_net_cash"]
-#: Rows of a task while trees are fitted.
-ROWS_A_TASK = 20_000
+#: Bound of the sample that trees are fitted on; every row is scored.
+TRAIN_ROWS = 200_000
 
 
 def weekly_pivot(payments: DataFrame) -> DataFrame:
@@ -79,65 +82,144 @@ def latest_week(features: DataFrame) -> DataFrame:
     return top_rows(features, ["entity_id"], [F.col("week").desc()])
 
 
-def fit_forecaster(features: DataFrame, target: str, trees: int = 300, depth: int = 4, seed: int = 42):
-    """Boosted regression trees on the features; unknown maturities get a sentinel and a flag."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+def _sample(df: DataFrame, columns: list[str], rows: int) -> np.ndarray:
+    """(rows, columns) of numbers: the ``rows`` rows of the smallest hashes of client and week, in order of those."""
+    order = [F.xxhash64("entity_id", "week"), F.col("entity_id"), F.col("week")]
+    picked = df.orderBy(*order).limit(rows).select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return picked.toPandas().to_numpy(np.float64).reshape(-1, len(columns))
 
-    _checkpoint_dir(features)
-    rows = _imputed(features).where(F.col(target).isNotNull())
-    model = GBTRegressor(featuresCol="x", labelCol=target, maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, predictionCol=f"{target}_forecast")
-    return Pipeline(stages=[VectorAssembler(inputCols=[*FEATURES, "no_maturity"], outputCol="x"), model]).fit(rows)
 
+def _scorer(model: boosting.Trees):
+    @F.pandas_udf("double")
+    def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for x in parts:
+            yield pd.Series(model.predict(x.to_numpy(np.float64)))
 
-def with_forecasts(features: DataFrame, inflow, outflow) -> DataFrame:
+    return score
+
+
+def fit_forecaster(features: DataFrame, target: str, trees: int = 300, depth: int = 4, rate: float = 0.05, seed: int = 42, rows: int = TRAIN_ROWS, start: boosting.Trees | None = None) -> boosting.Trees:
+    """Boosted regression trees on the features of at most ``rows`` rows whose next week is known; ``start``: go on from there."""
+    known = features.where("target_next_collections is not null and target_next_payments is not null")
+    x = _sample(known, [*FEATURES, target], rows)
+    return boosting.fit(x[:, :-1], x[:, -1], trees, depth, rate, seed=seed, start=start)
+
+
+def with_forecasts(features: DataFrame, inflow: boosting.Trees, outflow: boosting.Trees) -> DataFrame:
     """Both forecasts of next week, and the net of the two, beside each row's features."""
-    rows = outflow.transform(inflow.transform(_imputed(features)).drop("x")).drop("x")
-    rows = rows.withColumnsRenamed({"target_next_collections_forecast": "forecast_next_collections", "target_next_payments_forecast": "forecast_next_payments"})
+    x = F.struct(*[F.col(c).cast("double").alias(c) for c in FEATURES])
+    rows = features.withColumns({"forecast_next_collections": _scorer(inflow)(x), "forecast_next_payments": _scorer(outflow)(x)})
     return rows.withColumn("forecast_net_cash", F.col("forecast_next_collections") - F.col("forecast_next_payments"))
 
 
-def fit_engagement(forecasts: DataFrame, trees: int = 250, depth: int = 3, seed: int = 42):
-    """Boosted classification trees on the features and forecasts; the label takes the forecast net cash."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
+def fit_engagement(forecasts: DataFrame, trees: int = 250, depth: int = 3, rate: float = 0.07, seed: int = 42, rows: int = TRAIN_ROWS, start: boosting.Trees | None = None) -> tuple[boosting.Trees, float]:
+    """Boosted classification trees on features and forecasts, the label taking the forecast net cash; and the AUC over the
+    rows learned from."""
+    x = _sample(engagement_label(forecasts, "forecast_net_cash"), [*FEATURES, *FORECASTS, "label"], rows)
+    model = boosting.fit(x[:, :-1], x[:, -1], trees, depth, rate, True, seed=seed, start=start)
+    return model, boosting.auc(x[:, -1], model.predict(x[:, :-1]))
+
 
-    _checkpoint_dir(forecasts)
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.07, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=[*FEATURES, *FORECASTS, "no_maturity"], outputCol="x"), model]).fit(engagement_label(forecasts, "forecast_net_cash"))
+def errors(forecasts: DataFrame) -> DataFrame:
+    """Mean absolute errors of both forecasts over all rows whose next week is known, and the labels' positive rate: one row."""
+    known = F.col("target_next_collections").isNotNull() & F.col("target_next_payments").isNotNull()
+    off = lambda a, b: F.avg(F.when(known, F.abs(F.col(a) - F.col(b))))
+    rows = engagement_label(forecasts, "forecast_net_cash")
+    return rows.agg(off("target_next_collections", "forecast_next_collections").alias("train_mae_inflow_zar"), off("target_next_payments", "forecast_next_payments").alias("train_mae_outflow_zar"), F.avg("label").alias("positive_rate"))
 
 
-def _imputed(features: DataFrame) -> DataFrame:
-    return features.withColumn("no_maturity", F.col("days_to_next_tf_maturity").isNull().cast("int")).fillna({"days_to_next_tf_maturity": 9999, "net_cash_roll4_std": 0.0})
+class Models(NamedTuple):
+    inflow: boosting.Trees
+    outflow: boosting.Trees
+    timing: boosting.Trees
 
 
-def _checkpoint_dir(df: DataFrame) -> None:
-    """Boosting cuts its lineage every ten rounds, but only where the context has a folder for that."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
+def train(history: DataFrame, start: Models | None = None, trees: int = 300, timing_trees: int = 250, rows: int = TRAIN_ROWS) -> tuple[Models, dict[str, float | None]]:
+    """All three models and their training figures: errors and positive rate over the whole history, AUC over the sample."""
+    inflow = fit_forecaster(history, "target_next_collections", trees, rows=rows, start=start and start.inflow)
+    outflow = fit_forecaster(history, "target_next_payments", trees, rows=rows, start=start and start.outflow)
+    told = with_forecasts(history, inflow, outflow)
+    timing, train_auc = fit_engagement(told, timing_trees, rows=rows, start=start and start.timing)
+    return Models(inflow, outflow, timing), {**errors(told).first().asDict(), "train_auc": train_auc}
+
+
+def score(latest: DataFrame, models: Models) -> DataFrame:
+    """Both forecasts and a score of when to call, engaged from one half on."""
+    x = F.struct(*[F.col(c).cast("double").alias(c) for c in (*FEATURES, *FORECASTS)])
+    rows = with_forecasts(latest, models.inflow, models.outflow).withColumn("engagement_score", _scorer(models.timing)(x))
+    return rows.select("entity_id", "entity_name", "week", *FORECASTS, "engagement_score", (F.col("engagement_score") >= 0.5).cast("int").alias("engage_next_week"))
 
 
 def forecast(features: DataFrame, trees: int = 300, timing_trees: int = 250) -> DataFrame:
-    """The latest week of each client with both forecasts and a score of when to call: 1 from one half on."""
+    """The latest week of each client, scored by models that learn from all clients."""
     held = features.persist()
-    rows = held.coalesce(1 + held.count() // ROWS_A_TASK).sortWithinPartitions(*KEYS, "week")  # a round is many short jobs
-    with ThreadPoolExecutor(2) as pool:
-        inflow, outflow = pool.map(lambda target: fit_forecaster(rows, target, trees), ("target_next_collections", "target_next_payments"))
-    timing = fit_engagement(with_forecasts(rows, inflow, outflow), timing_trees)
-    held.unpersist()
-    rows = timing.transform(with_forecasts(latest_week(features), inflow, outflow))
-    score = F.element_at(_probability(), 2)
-    return rows.select("entity_id", "entity_name", "week", F.col("forecast_next_collections").alias("inflow_forecast"), F.col("forecast_next_payments").alias("outflow_forecast"), score.alias("engagement_score"), (score >= 0.5).alias("engage"))
+    models, _ = train(held, None, trees, timing_trees)
+    return score(latest_week(held), models)
+
+
+def stale_history(features: DataFrame, checkpoint: DataFrame) -> DataFrame:
+    """All weeks of the clients that have any after their checkpoint."""
+    return features.join(stale_entities(features, checkpoint).select("entity_id"), "entity_id", "left_semi")
+
 
+def advanced(features: DataFrame, checkpoint: DataFrame) -> DataFrame:
+    """The checkpoint after a run: the latest week of each stale client, what it was of the others."""
+    new = stale_entities(features, checkpoint).select("entity_id", F.col("latest").alias("last_seen"))
+    return checkpoint.unionByName(new).groupBy("entity_id").agg(F.max("last_seen").alias("last_seen"))
 
-def _probability():
-    from pyspark.ml.functions import vector_to_array
 
-    return vector_to_array("probability")
+def load_models(spark: SparkSession, folder: str) -> Models | None:
+    """The models of the latest run that wrote any into ``folder``."""
+    rows = _read(spark, f"{folder}/models", "run timestamp, name string, body string")
+    latest = rows.groupBy("name").agg(F.max_by("body", "run").alias("body")).collect()  # a row a model
+    found = {r["name"]: boosting.Trees.from_json(r["body"]) for r in latest}
+    return Models(**found) if found else None
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def run(features: DataFrame, folder: str, trees: int = 300, timing_trees: int = 250, rows: int = TRAIN_ROWS) -> tuple[DataFrame, dict[str, float | None] | None]:
+    """One run of the cycle: (scores of every client's latest week, training figures or None).
+
+    Clients with weeks after their checkpoint are learned from, with their whole history, going on from the models of the
+    last run; then the models and those clients' checkpoints are appended under ``folder`` (models first: a run that ends
+    in between is repeated). Without such clients the last models are used.
+    """
+    spark, held = features.sparkSession, features.persist()
+    checkpoint = _read(spark, f"{folder}/checkpoint", "entity_id string, last_seen date").groupBy("entity_id").agg(F.max("last_seen").alias("last_seen"))
+    models, figures = load_models(spark, folder), None
+    stale = stale_entities(held, checkpoint).persist()
+    if models is None or not stale.isEmpty():
+        models, figures = train(stale_history(held, checkpoint), models, trees, timing_trees, rows)
+        bodies = spark.createDataFrame([(k, v.to_json()) for k, v in models._asdict().items()], "name string, body string")
+        bodies.select(F.current_timestamp().alias("run"), "name", "body").coalesce(1).write.mode("append").parquet(f"{folder}/models")
+        stale.select("entity_id", F.col("latest").alias("last_seen")).write.mode("append").parquet(f"{folder}/checkpoint")
+    stale.unpersist()
+    return score(latest_week(held), models), figures
 
 
 def leaderboard(scores: DataFrame, n: int = 15) -> DataFrame:
     return scores.orderBy(F.col("engagement_score").desc(), "entity_id").limit(n)
+
+
+def leaderboard_lines(scores: DataFrame, n: int = 15, width: int = 30) -> DataFrame:
+    """(place, line): the leaderboard as text of fixed width."""
+    top = leaderboard(scores, n).withColumn("place", F.row_number().over(Window.orderBy(F.col("engagement_score").desc(), "entity_id")))  # n rows
+    net = F.concat(F.lit("R"), F.format_number(F.bround("forecast_net_cash"), 0))
+    line = F.concat(F.rpad(F.col("place").cast("string"), 3, " "), F.rpad("entity_name", width, " "), F.lpad(net, 26, " "), F.lpad(F.format_number("engagement_score", 2), 19, " "), F.lpad(F.when(F.col("engage_next_week") == 1, "Yes").otherwise("No"), 10, " "))
+    return top.select("place", line.alias("line"))
+
+
+def find_client(clients: DataFrame, asked: str) -> DataFrame:
+    """One row: asked, entity_id (that of the id, in any case, else of the only name that holds the words asked for, else null)
+    and matches (names that hold them)."""
+    q = asked.strip().lower()
+    by_id = F.max(F.when(F.lower("entity_id") == q, F.col("entity_id")))
+    named = F.lower("entity_name").contains(q) & F.lit(bool(q))
+    matches = F.count_distinct(F.when(named, F.col("entity_id")))
+    only = F.when(matches == 1, F.max(F.when(named, F.col("entity_id"))))
+    return clients.agg(F.lit(asked).alias("asked"), F.coalesce(by_id, only).alias("entity_id"), matches.alias("matches"))

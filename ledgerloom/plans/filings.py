@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.rules import AVOID, FOLLOW, NOTES, UNDECLARED, any_of, match_label
-from ledgerloom.functions.text import downloadable, is_numeric_cell, za_number
-
+from ledgerloom.functions.text import absolute_url, downloadable, is_numeric_cell, trim_all, za_number
+from ledgerloom.operators.relational import latest, top_rows
+from ledgerloom.sources.readers import workbook_format
+
+# Phrases of pages that hold a statement, and what the text of a report link holds.
+STATEMENT_WORDS = ("statement of comprehensive income", "statement of financial position", "statement of cash flows", "income statement", "balance sheet", "cash flow statement")
+REPORT_YEARS = ("2023", "2024", "2025")
+REPORT_WORDS = ("annual report", "integrated report", "annual financial statements", "afs")
+# End of fixed values.
 EXTRACTION = (
     "page_contains_financial_statement boolean, statement_type string, entity_name string, currency string, unit_scale string, periods array<string>, "
     "line_items array<struct<source_label: string, canonical_label: string, note_ref: string, is_subtotal_or_total: boolean, values: array<struct<period: string, value: double>>, confidence: string, flag_reason: string>>"
@@ -30,7 +37,7 @@ def word_rows(words: DataFrame, tolerance: float = 2.5) -> DataFrame:
     first = F.array_position(F.transform("cells", is_numeric_cell), True).cast("int")
     lines = lines.withColumn("at", first).where("at > 1")
     label = F.regexp_replace(F.trim(F.array_join(F.slice("cells", 1, F.col("at") - 1), " ")), r"[.\s]{3,}$", "")
-    return lines.select("doc", "page", "line", F.trim(label).alias("label"), F.slice("cells", F.col("at"), F.size("cells")).alias("cells"), F.substring(F.array_join("cells", " | "), 1, 300).alias("raw")).where(F.length("label") >= 3)
+    return lines.select("doc", "page", "line", F.trim(label).alias("label"), F.slice("cells", F.col("at"), F.size("cells")).alias("cells"), F.array_join("cells", " | ").alias("raw")).where(F.length("label") >= 3)
 
 
 def pick_column(cells: Column, prefer: str = "first") -> Column:
@@ -42,11 +49,36 @@ def pick_column(cells: Column, prefer: str = "first") -> Column:
     return F.when(pick.isNotNull(), F.struct(pick["index"].alias("index"), pick["value"].alias("value"), pick["ambiguous"].alias("ambiguous")))
 
 
-def line_items(rows: DataFrame, adjustment: float = -0.05, prefer: str = "first") -> DataFrame:
+def table_rows(tables: DataFrame) -> DataFrame:
+    """(doc, page, line, label, cells, raw) from the rows of ruled tables (doc, page, line, cells): the first cell is the label."""
+    cells = F.transform("cells", lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    rows = tables.select("doc", "page", F.col("line").cast("double").alias("line"), cells.alias("all")).where(F.exists("all", lambda c: c != ""))
+    return rows.select("doc", "page", "line", F.col("all")[0].alias("label"), F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(0))).alias("cells"), F.array_join("all", " | ").alias("raw"))
+
+
+def extract_rows(tables: DataFrame, words: DataFrame, pages: DataFrame) -> DataFrame:
+    """Line items of each page: rows of tables first (confidence + .05), then rows made of words (- .05); of rows with the same
+    text on a page only the first counts, whether or not it holds an item. ``pages``: doc, page, multiplier, scale_label."""
+    both = table_rows(tables).withColumn("origin", F.lit(0)).unionByName(word_rows(words).withColumn("origin", F.lit(1)))
+    once = top_rows(both, ["doc", "page", "raw"], [F.col("origin"), F.col("line")])
+    rows = once.join(pages, ["doc", "page"]).withColumn("adjustment", F.when(F.col("origin") == 0, 0.05).otherwise(-0.05))
+    return line_items(rows, F.col("adjustment"))
+
+
+def best_items(items: DataFrame) -> DataFrame:
+    """The item of the highest confidence of each document and concept; of equals the first in reading order."""
+    return top_rows(items, ["doc", "concept"], [F.col("confidence").desc(), F.col("page"), F.col("origin"), F.col("line")])
+
+
+def low_confidence(items: DataFrame, threshold: float = 0.8) -> DataFrame:
+    return items.where(F.col("confidence") < threshold)
+
+
+def line_items(rows: DataFrame, adjustment: float | Column = -0.05, prefer: str = "first") -> DataFrame:
     """Concepts with value and confidence from rows with label, cells, multiplier and scale_label."""
     out = rows.withColumn("m", match_label(F.col("label"))).withColumn("p", pick_column(F.col("cells"), prefer)).where("m is not null and p is not null")
-    conf = 0.5 + F.col("m.specificity") / 20 + F.lit(adjustment) - F.when(F.col("p.ambiguous"), 0.25).otherwise(0.0) - F.when(F.col("scale_label") == UNDECLARED, 0.20).otherwise(0.0)
-    keep = [c for c in rows.columns if c not in ("cells",)]
+    conf = 0.5 + F.col("m.specificity") / 20 + (F.lit(adjustment) if isinstance(adjustment, float) else adjustment) - F.when(F.col("p.ambiguous"), 0.25).otherwise(0.0) - F.when(F.col("scale_label") == UNDECLARED, 0.20).otherwise(0.0)
+    keep = [F.substring("raw", 1, 300).alias("raw") if c == "raw" else F.col(c) for c in rows.columns if c not in ("cells", "adjustment")]
     return out.select(*keep, F.col("m.concept").alias("concept"), F.col("p.index").alias("column_index"), F.col("p.value").alias("value"), (F.col("p.value") * F.col("multiplier")).alias("scaled_value"), F.bround(F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf)), 2).alias("confidence"))
 
 
@@ -65,9 +97,37 @@ def worth_following(url: Column, text: Column) -> Column:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page_id, place, link, downloadable) of the anchors of each page."""
-    found = F.regexp_extract_all("html", F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), 1)
-    return pages.select("page_id", F.posexplode(found).alias("place", "link")).withColumn("downloadable", downloadable(F.col("link")))
+    """(page_id, place, link, absolute, downloadable) of the anchors of each page, however their targets are quoted."""
+    found = F.regexp_extract_all("html", F.lit(r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""), 1)
+    bare = F.transform(found, lambda x: F.regexp_replace(x, """^["']|["']$""", ""))
+    rows = pages.select("page_id", "url", F.posexplode(bare).alias("place", "link"))
+    return rows.select("page_id", "place", "link", absolute_url(F.col("link"), F.col("url")).alias("absolute"), downloadable(F.col("link")).alias("downloadable"))
+
+
+def report_links(links: DataFrame, years: tuple[str, ...] = REPORT_YEARS, words: tuple[str, ...] = REPORT_WORDS) -> DataFrame:
+    """Links whose text names a year and a kind of report."""
+    text = F.lower("text")
+    return links.where(any_of(text, years) & any_of(text, words))
+
+
+def chosen_files(candidates: DataFrame, selected: DataFrame, n: int = 3) -> DataFrame:
+    """(ticker, name, year, place): of each ticker's candidates (ticker, name, year, place) the first ``n`` that are selected
+    (ticker, name); where none of the selected is a candidate, the ``n`` of the latest years."""
+    asked = selected.select("ticker", "name").distinct()
+    marked = candidates.join(asked.withColumn("asked", F.lit(True)), ["ticker", "name"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+    some = F.bool_or("asked").over(Window.partitionBy("ticker"))
+    marked = marked.withColumn("some", some)
+    picked = top_rows(marked.where("asked"), ["ticker"], [F.col("place")], n).unionByName(latest(marked.where("not some"), ["ticker"], "year", n, ["place"]))
+    return picked.select("ticker", "name", "year", "place")
+
+
+def named_files(answers: DataFrame, files: DataFrame) -> DataFrame:
+    """(ticker, name, place): the ticker's files (ticker, name, seq) that stand in a line of its answer (ticker, text), in order of
+    the lines and then of the files, each once."""
+    line = F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line_no", "line")
+    lines = answers.select("ticker", line).withColumn("line", trim_all(F.regexp_replace("line", r"(?U)^[\s\-*\d.)]+", "")))
+    hits = lines.join(files, "ticker").where(F.col("line").contains(F.col("name"))).groupBy("ticker", "name", "seq").agg(F.min("line_no").alias("line_no"))
+    return hits.withColumn("place", F.row_number().over(Window.partitionBy("ticker").orderBy("line_no", "seq"))).select("ticker", "name", "place")
 
 
 def decisions(candidates: DataFrame, manifest_urls: DataFrame, manifest_hashes: DataFrame, low: int, high: int) -> DataFrame:
@@ -94,7 +154,7 @@ def flatten(docs: DataFrame, json_col: str = "json") -> DataFrame:
     return rows.select("doc", text("d.statement_type").alias("statement_type"), text("d.entity_name").alias("entity_name"), text("d.currency").alias("currency"), text("d.unit_scale").alias("unit_scale"), text("i.source_label").alias("source_label"), text("i.canonical_label").alias("canonical_label"), F.coalesce("i.is_subtotal_or_total", F.lit(False)).alias("is_total"), F.col("v.period").alias("period"), F.col("v.value").alias("value"), F.coalesce("i.confidence", F.lit("medium")).alias("confidence"))
 
 
-def relevant(text: Column, keywords: tuple[str, ...]) -> Column:
+def relevant(text: Column, keywords: tuple[str, ...] = STATEMENT_WORDS) -> Column:
     return any_of(F.lower(text), keywords)
 
 
@@ -102,6 +162,12 @@ def reliable(text: Column) -> Column:
     return (F.length(F.trim(text)) >= 30) & (F.regexp_count(text, F.lit(r"\(cid:")) <= 5)
 
 
+def file_entity(path: Column) -> Column:
+    """The entity that a workbook's file name stands for."""
+    stem = F.regexp_replace(F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", ""), "(?i)_Financial_Extraction$", "")
+    return F.trim(F.replace(stem, F.lit("_"), F.lit(" ")))
+
+
 def statement_sheet(cells: DataFrame) -> DataFrame:
     """Statement workbook: the header is the first of the first five rows whose first cell is ``line item`` or ``metric``;
     a header cell names entity, year and restatement; numbers below it are unpivoted."""
@@ -111,8 +177,12 @@ def statement_sheet(cells: DataFrame) -> DataFrame:
     top = rows.where("row_idx = h and col_idx > 0").select("file", "sheet", "col_idx", F.regexp_extract("str", pattern, 1).alias("entity"), F.regexp_extract("str", pattern, 2).alias("y"), (F.regexp_extract("str", pattern, 3) != "").alias("restated")).where("y <> ''")
     names = rows.where("row_idx > h and col_idx = 0 and trim(str) <> ''").select("file", "sheet", "row_idx", F.trim("str").alias("line_item"))
     values = rows.where("row_idx > h and col_idx > 0 and num is not null").select("file", "sheet", "row_idx", "col_idx", "num")
-    stem = F.trim(F.replace(F.regexp_replace(F.regexp_replace(F.substring_index("file", "/", -1), r"\.[^.]*$", ""), "(?i)_Financial_Extraction$", ""), F.lit("_"), F.lit(" ")))
-    entity = F.when(F.trim("entity") != "", F.trim("entity")).otherwise(stem)
+    stem = file_entity(F.col("file"))
+    # A sheet README names the entity in its first cell, ahead of a dash between blanks.
+    title = trim_all(F.split("str", r"(?U)\s+[\u2013\u2014-]\s+")[0])
+    readme = cells.where("sheet = 'README' and row_idx = 0 and col_idx = 0").select("file", F.when(title != "", title).alias("readme"))
+    values = values.join(readme, "file", "left")
+    entity = F.when(F.trim("entity") != "", F.trim("entity")).otherwise(F.coalesce("readme", stem))
     return values.join(names, ["file", "sheet", "row_idx"]).join(top, ["file", "sheet", "col_idx"]).select("file", F.col("sheet").alias("statement"), entity.alias("entity_variant"), "line_item", F.col("y").cast("int").alias("year"), "restated", F.col("num").alias("raw_value"), (F.col("num") * 1e6).alias("value_zar"))
 
 
@@ -137,3 +207,12 @@ def cashflow_sheet(cells: DataFrame, min_year: int = 2023, fx: dict[str, float]
     return values.join(labels, ["file", "row_idx"]).join(years, ["file", "col_idx"]).join(unit, "file").select("file", "line_item", "year", F.col("num").alias("raw_value"), (F.col("num") * sheet_scale(F.col("unit")) * rate).alias("value_zar"))
 
 
+
+
+def external_lines(cells: DataFrame, min_year: int = 2023, fx: dict[str, float] | None = None) -> DataFrame:
+    """Line items of all workbooks, each read by the layout that its sheets show."""
+    kinds = workbook_format(cells)
+    own = lambda kind: cells.join(kinds.where(F.col("format") == kind).select("file"), "file", "left_semi")
+    a = statement_sheet(own("statement"))
+    b = cashflow_sheet(own("cashflow"), min_year, fx).withColumns({"statement": F.lit("Cash Flow Statement"), "entity_variant": file_entity(F.col("file")), "restated": F.lit(False)})
+    return a.unionByName(b.select(a.columns))

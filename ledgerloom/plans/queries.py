@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from ledgerloom.config import CONFIG, LEGS
 from ledgerloom.functions import rules, text
 from ledgerloom.operators import relational as rel
 from ledgerloom.plans import cashcycle, diagnostics, filings, wallet
-from ledgerloom.sources import views
+from ledgerloom.operators.staging import scratch
+from ledgerloom.sources import readers, sinks, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +43,11 @@ def _ledger(spark, d) -> DataFrame:
     return wallet.tidy_ledger(_books(spark, d))
 
 
+def _facts(spark, d) -> DataFrame:
+    """The ledger's facts, kept for the plans that use them several times: the books are read once."""
+    return wallet.facts(_ledger(spark, d)).persist()
+
+
 def _r(df: DataFrame, *cols: str, n: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c in cols})
 
@@ -73,12 +80,12 @@ def ledger_union(spark, d):
 
 @query(_with("SELECT DISTINCT entity_id, entity_name, sector FROM ledger"))
 def entity_master(spark, d):
-    return wallet.entity_master(_ledger(spark, d))
+    return wallet.entity_master(_facts(spark, d))
 
 
 @query(_with("SELECT entity_id, greatest(1, round_even(date_diff('day', min(date), max(date)) / 30.44, 0))::INT AS months FROM ledger GROUP BY 1"))
 def observed_months(spark, d):
-    return wallet.observed_months(_ledger(spark, d))
+    return wallet.observed_months(_facts(spark, d))
 
 
 _PRIOR = """
@@ -92,7 +99,7 @@ prior AS (SELECT entity_id, pillar, coalesce(n, 0) AS n, CASE WHEN n IS NULL THE
 
 @query(_with(_PRIOR.strip() + " SELECT entity_id, pillar, n, round(captured::DOUBLE, 4) AS captured, round(m0::DOUBLE, 6) AS m0, k0, a0, round(b0, 4) AS b0 FROM prior"))
 def internal_prior(spark, d):
-    out = wallet.internal_prior(_ledger(spark, d))
+    out = wallet.internal_prior(_facts(spark, d))
     return out.withColumns({"captured": F.round("captured", 4), "m0": F.round("m0", 6), "b0": F.round("b0", 4)})
 
 
@@ -111,7 +118,7 @@ named AS (SELECT entity_variant, entity_id FROM have LEFT JOIN need ON list_has_
 
 @query(_with(_MATCH.strip() + " SELECT * FROM named"))
 def entity_match(spark, d):
-    return rel.match_names(views.external_lines(spark, d), wallet.entity_master(_ledger(spark, d)))
+    return rel.match_names(views.external_lines(spark, d), wallet.entity_master(_facts(spark, d)))
 
 
 @query(_with(f"c AS (SELECT DISTINCT line_item, {_CLASS} AS c FROM ext) SELECT line_item, c.pillar AS pillar, c.m::DOUBLE AS multiplier FROM c"))
@@ -128,14 +135,14 @@ log AS (SELECT entity_id, entity_variant, line_item, year, c.pillar AS pillar, c
                CASE WHEN c.pillar <> 'ceiling_only' AND value_zar <> 0 THEN ln(abs(value_zar) * c.m::DOUBLE) + ln(coalesce(months, 12) / 12) END AS x_i FROM latest LEFT JOIN months USING (entity_id))"""
 
 
-def _log(spark, d) -> DataFrame:
-    ledger = _ledger(spark, d)
-    return wallet.signal_log(views.external_lines(spark, d), wallet.entity_master(ledger), wallet.observed_months(ledger))
+def _log(spark, d, known: DataFrame | None = None) -> DataFrame:
+    known = known if known is not None else _facts(spark, d)
+    return wallet.signal_log(views.external_lines(spark, d), wallet.entity_master(known), wallet.observed_months(known))
 
 
 @query(_with(_SIGNALS.strip() + " SELECT * EXCLUDE (x_i), round(x_i, 6) AS x_i FROM log"))
 def signal_log(spark, d):
-    return _r(_log(spark, d), "x_i")
+    return _r(_log(spark, d).drop("note"), "x_i")
 
 
 _CEIL = """,
@@ -155,8 +162,9 @@ post AS (SELECT entity_id, pillar, captured, n_signals, coalesce((k0 * m0 + ne *
 
 
 def _post(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    ledger, log = _ledger(spark, d), _log(spark, d)
-    return wallet.posterior(wallet.internal_prior(ledger), log), wallet.ceilings(log), wallet.entity_master(ledger)
+    known = _facts(spark, d)
+    log = _log(spark, d, known)
+    return wallet.posterior(wallet.internal_prior(known), log), wallet.ceilings(log), wallet.entity_master(known)
 
 
 @query(_with(_SIGNALS.strip() + _POST + " SELECT entity_id, pillar, round(captured::DOUBLE, 4) AS captured, n_signals, round(m_n::DOUBLE, 6) AS m_n, round(k_n::DOUBLE, 6) AS k_n, round(a_n::DOUBLE, 6) AS a_n, round(b_n::DOUBLE, 4) AS b_n FROM post"))
@@ -164,16 +172,46 @@ def nig_posterior(spark, d):
     return _post(spark, d)[0].withColumns({"captured": F.round("captured", 4), "m_n": F.round("m_n", 6), "k_n": F.round("k_n", 6), "a_n": F.round("a_n", 6), "b_n": F.round("b_n", 4)})
 
 
-@query()
+# The t quantile by Simpson's rule and bisection, apart from the plan's continued fraction. nu: degrees of freedom.
+_T = """,
+nus AS (SELECT DISTINCT 2 * a_n AS nu FROM post),
+bis AS (SELECT nu, 0::DOUBLE AS lo, 4::DOUBLE AS hi, 0 AS step FROM nus UNION ALL
+        SELECT nu, CASE WHEN mass < 0.45 THEN mid ELSE lo END, CASE WHEN mass < 0.45 THEN hi ELSE mid END, step + 1
+        FROM (SELECT *, (lo + hi) / 2 AS mid, exp(lgamma((nu + 1) / 2) - lgamma(nu / 2)) / sqrt(nu * pi()) * ((lo + hi) / 2) / 1200 *
+              list_sum(list_transform(range(0, 401), lambda i: (CASE WHEN i IN (0, 400) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * pow(1 + pow((lo + hi) / 2 * i / 400, 2) / nu, -(nu + 1) / 2))) AS mass
+              FROM bis WHERE step < 52)),
+tq AS (SELECT nu, -(lo + hi) / 2 AS t FROM bis WHERE step = 52),
+raw AS (SELECT post.*, ceiling_zar, t * sqrt(greatest(b_n * (k_n + 1) / (a_n * k_n), 1e-12)) AS w FROM post JOIN tq ON 2 * a_n = nu LEFT JOIN ceil USING (entity_id)),
+cut AS (SELECT *, greatest(exp(m_n + w), 1) AS lo0, CASE WHEN ceiling_zar > 0 THEN least(greatest(exp(m_n), 1), ceiling_zar) ELSE greatest(exp(m_n), 1) END AS median,
+               CASE WHEN ceiling_zar > 0 THEN least(exp(m_n - w), ceiling_zar) ELSE exp(m_n - w) END AS hi0 FROM raw),
+two AS (SELECT *, CASE WHEN ceiling_zar > 0 THEN least(lo0, hi0) ELSE lo0 END AS lo FROM cut),
+det AS (SELECT *, greatest(hi0, lo) AS hi FROM two)"""
+_MILLIONS = lambda c: f"round_even(({c}) / 1e6, 2)::DOUBLE"
+
+
+def _sql_t(sql: str) -> str:
+    return _with(sql).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(_sql_t(_SIGNALS.strip() + _CEIL + _POST + _T + " SELECT entity_id, pillar, n_signals, " + ", ".join(f"{_MILLIONS(e)} AS {n}" for n, e in (("captured", "captured"), ("ceiling_zar", "ceiling_zar"), ("lo", "lo"), ("median", "median"), ("hi", "hi"), ("half_width", "(hi - lo) / 2"), ("pillar_gap_zar", "median - captured"))) + " FROM det"))
 def pillar_detail(spark, d):
+    """Amounts in millions, to two places."""
     post, ceiling, _ = _post(spark, d)
-    return wallet.pillar_detail(post, ceiling)
+    out = wallet.pillar_detail(post, ceiling)
+    return out.withColumns({c: F.bround(F.col(c) / 1e6, 2) for c in ("captured", "ceiling_zar", "lo", "median", "hi", "half_width", "pillar_gap_zar")})
 
 
-@query()
+_PORTFOLIO = """,
+best AS (SELECT entity_id, pillar AS top_opportunity_pillar, median - captured AS top_gap FROM det QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY median - captured DESC, pillar) = 1),
+tot AS (SELECT entity_id, sum(captured)::DOUBLE AS cap, sum(median)::DOUBLE AS med, sum(n_signals)::BIGINT AS n_external_signals, sqrt(sum(pow((hi - lo) / 2, 2))) AS half, max(ceiling_zar) AS top FROM det GROUP BY 1),
+pf AS (SELECT *, greatest(med - half, cap) AS low, CASE WHEN top IS NOT NULL THEN least(med + half, top) ELSE med + half END AS high FROM tot JOIN best USING (entity_id) JOIN (SELECT DISTINCT entity_id, entity_name, sector FROM ledger) USING (entity_id))"""
+
+
+@query(_sql_t(_SIGNALS.strip() + _CEIL + _POST + _T + _PORTFOLIO + " SELECT entity_id, entity_name, sector, top_opportunity_pillar, n_external_signals, n_external_signals > 0 AS has_external_evidence, round_even(100 * cap / med, 1)::DOUBLE AS captured_share_pct, row_number() OVER (ORDER BY med - cap DESC, entity_id)::INT AS opportunity_rank, " + ", ".join(f"{_MILLIONS(e)} AS {n}" for n, e in (("captured_zar", "cap"), ("taw_median_zar", "med"), ("taw_half_width_zar", "half"), ("top_opportunity_gap_zar", "top_gap"), ("taw_lo_zar", "low"), ("taw_hi_zar", "high"), ("wallet_gap_zar", "med - cap"))) + " FROM pf"))
 def portfolio(spark, d):
+    """As printed: amounts in millions to two places, shares to one."""
     post, ceiling, master = _post(spark, d)
-    return wallet.portfolio(wallet.pillar_detail(post, ceiling), master)
+    return sinks.wallet_report(wallet.portfolio(wallet.pillar_detail(post, ceiling), master))
 
 
 _MEDIAN = """,
@@ -423,9 +461,10 @@ def url_dedupe(spark, d):
     return views.table(spark, d, "pages").groupBy(F.substring_index("url", "#", 1).alias("url_key")).agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n"))
 
 
-@query(r"""SELECT page_id, (unnest(range(1, len(l) + 1)) - 1)::INT AS place, unnest(l) AS link, regexp_matches(lower(split_part(split_part(link, '?', 1), '#', 1)), '\.(pdf|ppt|pptx|xls|xlsx|doc|docx|zip)$') AS downloadable FROM (SELECT page_id, regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1) AS l FROM pages)""")
+@query(r"""SELECT page_id, (unnest(range(1, len(l) + 1)) - 1)::INT AS place, unnest(l) AS link, regexp_matches(lower(split_part(split_part(link, '?', 1), '#', 1)), '\.(pdf|ppt|pptx|xls|xlsx|doc|docx|zip)$') AS downloadable
+FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1), lambda x: CASE WHEN x[1] IN (chr(34), chr(39)) THEN x[2:-2] ELSE x END) AS l FROM pages)""")
 def html_links(spark, d):
-    return filings.page_links(views.table(spark, d, "pages"))
+    return filings.page_links(views.table(spark, d, "pages")).drop("absolute")
 
 
 _FOLLOW_SQL = " OR ".join(f"contains(lower(url), '{w}')" for w in rules.FOLLOW), " OR ".join(f"contains(lower(url), '{w}')" for w in rules.AVOID)
@@ -517,3 +556,262 @@ def cashflow_workbook(spark, d):
 def visited_upsert(spark, d):
     c = views.table(spark, d, "conversations").select("conv_id", "turn", "role")
     return rel.upsert(c.where("turn % 2 = 0"), c.where("turn % 2 = 1"), ["conv_id"], "turn")
+
+
+# ---- sources, sinks and selections --------------------------------------------------------------------------------------
+
+
+@query(_with("SELECT entity_id, leg_type, count(*) AS n, sum(amount_zar::DECIMAL(20,4))::DOUBLE AS total, min(date) AS first_date FROM tb GROUP BY 1, 2"), dates=("first_date",))
+def ledger_csv_round_trip(spark, d):
+    """The payments written as CSV and found and read again as a ledger folder."""
+    folder = scratch(spark)
+    schema = "entity_id string, entity_name string, sector string, date date, leg_type string, amount_zar double"
+    sinks.write_csv(views.transactional_banking(spark, d).select(*[f.split()[0] for f in schema.split(", ")]), f"{folder}/transactional_banking.csv")
+    books = readers.load_ledgers(spark, folder, ["transactional_banking"], {"transactional_banking": schema})
+    return books["transactional_banking"].groupBy("entity_id", "leg_type").agg(F.count(F.lit(1)).alias("n"), rel.money("amount_zar").alias("total"), F.min("date").alias("first_date"))
+
+
+@query("SELECT (row_number() OVER (ORDER BY n_name) - 1)::INT AS place, n_name AS name, n_nationkey::BIGINT AS number FROM nation")
+def csv_with_index(spark, d):
+    path = scratch(spark)
+    sinks.write_csv(views.table(spark, d, "nation").select("n_name", "n_nationkey"), path, [F.col("n_name")], {"index": "place", "n_name": "name", "n_nationkey": "number"})
+    return spark.read.schema("place int, name string, number long").option("header", True).csv(path)
+
+
+@query("SELECT c_custkey::BIGINT AS c_custkey, c_name, c_acctbal FROM customer")
+def json_round_trip(spark, d):
+    path = scratch(spark)
+    sinks.write_json(views.table(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_acctbal"), path)
+    return spark.read.schema("c_custkey long, c_name string, c_acctbal double").json(path)
+
+
+@query("SELECT * FROM (VALUES ('rho', '0.3'), ('alpha', '0.1'), ('k0_no_data', '3.0'), ('default_log_var', '0.35'), ('floor', '1.0'), ('a0_min', '1.0'), ('unit_multiplier', '1000000.0'), ('reporting_months', '12'), ('default_observed_months', '12'), ('cashflow_min_year', '2023'), ('fx_to_zar', '{\"ZAR\": 1.0, \"USD\": 16.5, \"GBP\": 23.5, \"EUR\": 20.0}'), ('pillars', '[\"Transactional Banking\", \"Investment Banking\", \"Global Markets\"]'), ('book_pillar', '{\"transactional_banking\": \"Transactional Banking\", \"trade_finance\": \"Transactional Banking\", \"cross_border_payments\": \"Global Markets\"}')) AS t(name, value)")
+def config_dump(spark, d):
+    return spark.createDataFrame(wallet.config_rows(), "name string, value string")
+
+
+@query(_with(_SIGNALS.strip() + _CEIL + " SELECT * FROM (SELECT 'ceiling' AS block, count(*) AS n FROM ceil UNION ALL SELECT 'config', 13) WHERE n > 0"))
+def report_sheets(spark, d):
+    """The five sheets written as folders; the settings sheet read again, by block."""
+    folder = scratch(spark)
+    sinks.write_sheets(wallet.report_sheets(spark, _ledger(spark, d), views.external_lines(spark, d)), folder)
+    return spark.read.option("header", True).option("escape", '"').csv(f"{folder}/config").groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_custkey::BIGINT AS c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'second' ELSE c_mktsegment END AS segment FROM customer")
+def overlay_overrides(spark, d):
+    c = views.table(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), F.col("c_mktsegment").alias("segment"))
+    some = c.where("c_custkey % 7 = 0").select("c_custkey", F.posexplode(F.array(F.lit("first"), F.lit("second"))).alias("seq", "segment"))
+    return readers.overlay(c, some.select("c_custkey", "segment", "seq"), "c_custkey")
+
+
+@query("SELECT upper(trim(n_name)) AS ticker FROM nation WHERE n_nationkey % 3 <> 0")
+def ticker_list(spark, d):
+    path = scratch(spark)
+    n = views.table(spark, d, "nation")
+    n.select(F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("# "), "n_name")).otherwise(F.concat(F.lit(" "), F.lower("n_name"), F.lit(" # note"))).alias("value")).write.text(path)
+    return readers.read_tickers(spark, path)
+
+
+@query("SELECT r_regionkey::BIGINT AS r_regionkey, array_to_string(list_sort(list(n_name))[1:CASE WHEN count(*) <= 4 THEN 4 ELSE 3 END], '_') || CASE WHEN count(*) > 4 THEN '_+' || (count(*) - 3) || 'more' ELSE '' END AS stamp FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey = 1 GROUP BY 1")
+def folder_stamp(spark, d):
+    n = views.table(spark, d, "nation").where("n_regionkey = 1").select(F.col("n_name").alias("ticker"))
+    return sinks.folder_stamp(n).select(F.lit(1).cast("long").alias("r_regionkey"), "stamp")
+
+
+@query(_with(_PIVOT.replace("FROM tb GROUP", "FROM (SELECT * FROM tb WHERE date <= '1996-06-30') AS tb GROUP").strip() + _WINDOWS + _ASOF.replace("FROM tf GROUP", "FROM tf WHERE date <= '1996-06-30' GROUP") + _XB.replace("FROM xb GROUP", "FROM xb WHERE date <= '1996-06-30' GROUP") + " SELECT entity_id, week, days_to_next_tf_maturity, next_tf_maturity_value, xborder_volume FROM feat"), dates=("week",))
+def features_as_of(spark, d):
+    """What was known at a day: later rows of all books are hidden."""
+    out = cashcycle.weekly_features(views.transactional_banking(spark, d), views.trade_finance(spark, d), views.cross_border_payments(spark, d), as_of="1996-06-30")
+    return out.select("entity_id", "week", "days_to_next_tf_maturity", "next_tf_maturity_value", "xborder_volume")
+
+
+_STALE = f", cp AS (SELECT entity_id, s::DATE AS s FROM (VALUES {_lit(_CHECKPOINT)}) AS t(entity_id, s)), lt AS (SELECT entity_id, max(week) AS latest FROM feat GROUP BY 1), st AS (SELECT entity_id, latest, s FROM lt LEFT JOIN cp USING (entity_id) WHERE coalesce(latest > s, true))"
+
+
+def _checkpoint(spark) -> DataFrame:
+    return _spark_lit(spark, _CHECKPOINT, "entity_id, s").select("entity_id", F.to_date("s").alias("last_seen"))
+
+
+@query(_with(_PIVOT.strip() + _WINDOWS + _ASOF + _XB + _STALE + " SELECT entity_id, week, round(net_cash, 4) AS net_cash FROM feat SEMI JOIN st USING (entity_id)"), dates=("week",))
+def stale_history(spark, d):
+    return cashcycle.stale_history(_features(spark, d), _checkpoint(spark)).select("entity_id", "week", "net_cash")
+
+
+@query(_with(_PIVOT.strip() + _WINDOWS + _ASOF + _XB + _STALE + " SELECT entity_id, max(v) AS last_seen FROM (SELECT entity_id, s AS v FROM cp UNION ALL SELECT entity_id, latest FROM st) GROUP BY 1"), dates=("last_seen",))
+def checkpoint_advance(spark, d):
+    return cashcycle.advanced(_features(spark, d), _checkpoint(spark))
+
+
+@query(_with(_PIVOT.strip() + _WINDOWS + _ASOF + _XB + ", lt AS (SELECT entity_id, max(week) AS last_seen FROM feat GROUP BY 1) SELECT entity_id, last_seen, 1::INT AS scored FROM lt"), dates=("last_seen",))
+def orchestrator_run(spark, d):
+    """A first run of the cycle with few rounds: every client is scored once and has its checkpoint written."""
+    folder = scratch(spark)
+    scores, _ = cashcycle.run(_features(spark, d), folder, trees=3, timing_trees=3)
+    scored = scores.where("engagement_score between 0 and 1 and engage_next_week = cast(engagement_score >= 0.5 as int)").groupBy("entity_id").agg(F.count(F.lit(1)).cast("int").alias("scored"))
+    return spark.read.parquet(f"{folder}/checkpoint").join(scored, "entity_id").select("entity_id", "last_seen", "scored")
+
+
+@query(_with(_PIVOT.strip() + _WINDOWS + _ASOF + _XB + " SELECT round(avg(abs(target_next_collections - collections_lag1)) FILTER (target_next_payments IS NOT NULL AND target_next_collections IS NOT NULL), 2) AS train_mae_inflow_zar, round(avg(abs(target_next_payments - supplier_payments_lag1)) FILTER (target_next_payments IS NOT NULL AND target_next_collections IS NOT NULL), 2) AS train_mae_outflow_zar, round(avg((coalesce(collections_lag1 - supplier_payments_lag1 > greatest(net_cash_roll4_mean, 0), false) OR tf_maturity_within_30d = 1)::INT), 6) AS positive_rate FROM feat"))
+def forecast_errors(spark, d):
+    """The training figures of a forecast that says what was a week before."""
+    rows = _features(spark, d).withColumns({"forecast_next_collections": F.col("collections_lag1"), "forecast_next_payments": F.col("supplier_payments_lag1"), "forecast_net_cash": F.col("collections_lag1") - F.col("supplier_payments_lag1")})
+    return _r(_r(cashcycle.errors(rows), "positive_rate"), "train_mae_inflow_zar", "train_mae_outflow_zar", n=2)
+
+
+@query("SELECT n_nationkey::INT AS place, rpad((n_nationkey + 1)::VARCHAR, 3, ' ') || rpad(n_name, 30, ' ') || lpad('R' || format('{:,}', 1000 * n_nationkey::BIGINT), 26, ' ') || lpad(format('{:.2f}', 1 - n_nationkey / 100), 19, ' ') || lpad(CASE WHEN n_nationkey % 2 = 0 THEN 'Yes' ELSE 'No' END, 10, ' ') AS line FROM nation WHERE n_nationkey < 15")
+def leaderboard_lines(spark, d):
+    k = F.col("n_nationkey")
+    scores = views.table(spark, d, "nation").select(F.format_string("E%02d", k).alias("entity_id"), F.col("n_name").alias("entity_name"), (k * 1000.0).alias("forecast_net_cash"), (1 - k / 100).alias("engagement_score"), (k % 2 == 0).cast("int").alias("engage_next_week"))
+    return cashcycle.leaderboard_lines(scores).select((F.col("place") - 1).cast("int").alias("place"), "line")
+
+
+_ASKED = ("e03", "united s", "an", "  CANADA ", "nobody", "")
+
+
+@query(_with("a AS (SELECT * FROM (VALUES " + _lit([(q, q.strip().lower()) for q in _ASKED]) + ") AS t(asked, q)), m AS (SELECT asked, max(entity_id) FILTER (lower(entity_id) = q) AS i, count(DISTINCT entity_id) FILTER (q <> '' AND contains(lower(entity_name), q)) AS matches, max(entity_id) FILTER (q <> '' AND contains(lower(entity_name), q)) AS o FROM a, entity GROUP BY 1) SELECT asked, coalesce(i, CASE WHEN matches = 1 THEN o END) AS entity_id, matches FROM m"))
+def client_lookup(spark, d):
+    clients = views.entity(spark, d)
+    return reduce(DataFrame.unionByName, [cashcycle.find_client(clients, q) for q in _ASKED])
+
+
+@query(_with("SELECT DISTINCT entity_name FROM ledger WHERE entity_name IS NOT NULL"))
+def client_names(spark, d):
+    return wallet.client_names(_books(spark, d))
+
+
+@query(_with("SELECT 'transactional_banking' AS source_file, count(DISTINCT entity_id) AS clients, count(DISTINCT entity_name) AS names, min(date) AS first_date, max(date) AS last_date, count(*) AS n FROM tb UNION ALL SELECT 'trade_finance', count(DISTINCT entity_id), count(DISTINCT entity_name), min(date), max(date), count(*) FROM tf UNION ALL SELECT 'cross_border_payments', count(DISTINCT entity_id), count(DISTINCT entity_name), min(date), max(date), count(*) FROM xb"), dates=("first_date", "last_date"))
+def book_profile(spark, d):
+    return diagnostics.profile(_books(spark, d))
+
+
+@query(_with("SELECT entity_name, count(*) AS n FROM tb GROUP BY 1"))
+def name_counts(spark, d):
+    return rel.value_counts(views.transactional_banking(spark, d), "entity_name")
+
+
+@query(_with("SELECT entity_id, " + ", ".join(f"max(n) FILTER (pillar = '{p}') AS \"{p}\"" for p in CONFIG.pillars) + " FROM (SELECT entity_id, pillar, count(*) AS n FROM ledger GROUP BY 1, 2) GROUP BY 1"))
+def pivot_once(spark, d):
+    known = _facts(spark, d).groupBy("entity_id", "pillar").agg(F.sum("n").alias("n"))
+    return rel.pivot_unique(known, "entity_id", "pillar", "n", list(CONFIG.pillars))
+
+
+@query("SELECT l_orderkey::BIGINT AS l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 25 AND l_linenumber <> 3")
+def positive_values(spark, d):
+    """Values that come as text, some of them no numbers."""
+    n = F.col("l_linenumber")
+    text_value = F.when(n == 3, "n/a").otherwise((F.col("l_quantity") - 25).cast("string"))
+    rows = views.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("long").alias("l_orderkey"), n.cast("long").alias("l_linenumber"), text_value.alias("v"))
+    return diagnostics.positive(rows, "v").select("l_orderkey", "l_linenumber", (F.col("v") + 25).alias("l_quantity"))
+
+
+# ---- documents, links and files -------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, contains(lower(text), 'license') OR contains(lower(text), 'the ') AS relevant, length(regexp_replace(text, '^[ ]+|[ ]+$', '', 'g')) >= 30 AND len(regexp_extract_all(text, '\\(cid:')) <= 5 AS reliable FROM documents")
+def page_checks(spark, d):
+    t = F.col("text")
+    return views.table(spark, d, "documents").select("doc_id", filings.relevant(t, ("license", "the ")).alias("relevant"), filings.reliable(t).alias("reliable"))
+
+
+_KINDS = ("Annual Report", "Results presentation", "AFS", "Integrated report", "Notice")
+
+
+@query("SELECT page_id, 'x' || text AS text FROM (SELECT page_id, ['Annual Report', 'Results presentation', 'AFS', 'Integrated report', 'Notice'][(page_id % 5 + 1)::INT] || ' ' || (2020 + page_id % 7) AS text FROM pages) WHERE regexp_matches(text, '(Annual|Integrated) [Rr]eport|AFS') AND right(text, 4) IN ('2023', '2024', '2025')")
+def report_links(spark, d):
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("page_id") % 5 + 1).cast("int"))
+    links = views.table(spark, d, "pages").select("page_id", F.concat(kind, F.lit(" "), (2020 + F.col("page_id") % 7).cast("string")).alias("text"))
+    return filings.report_links(links).withColumn("text", F.concat(F.lit("x"), "text"))
+
+
+_LINKS_SQL = "(SELECT page_id, ['  see ' || link || ' and ' || link || ' of ' || day, 'none ' || upper(link) || ') ' || day, day || ' https://elsewhere.test/documents/2024/x.pdf'][(page_id % 3 + 1)::INT] AS body, page_id % 3 AS k, link FROM (SELECT page_id, 'https://senspdf.jse.co.za/documents/' || (2000 + page_id % 30) || '/A/' || page_id || '.pdf' AS link, lpad((1 + page_id % 31)::VARCHAR, 2, '0') || '-' || lpad((1 + page_id % 12)::VARCHAR, 2, '0') || '-' || (2000 + page_id % 90) AS day FROM pages))"
+
+
+@query(f"SELECT page_id, CASE k WHEN 0 THEN link WHEN 1 THEN upper(link) ELSE '' END AS links, try_cast((2000 + page_id % 90) || '-' || lpad((1 + page_id % 12)::VARCHAR, 2, '0') || '-' || lpad((1 + page_id % 31)::VARCHAR, 2, '0') AS DATE) AS day FROM {_LINKS_SQL}", dates=("day",))
+def announcements(spark, d):
+    """Links and dates in announcements made from the page numbers."""
+    i = F.col("page_id")
+    two = lambda n: F.lpad((1 + i % n).cast("string"), 2, "0")
+    link = F.concat(F.lit("https://senspdf.jse.co.za/documents/"), (2000 + i % 30).cast("string"), F.lit("/A/"), i.cast("string"), F.lit(".pdf"))
+    day = F.concat_ws("-", two(31), two(12), (2000 + i % 90).cast("string"))
+    body = F.when(i % 3 == 0, F.concat(F.lit("  see "), link, F.lit(" and "), link, F.lit(" of "), day)).when(i % 3 == 1, F.concat(F.lit("none "), F.upper(link), F.lit(") "), day)).otherwise(F.concat(day, F.lit(" https://elsewhere.test/documents/2024/x.pdf")))
+    rows = views.table(spark, d, "pages").withColumn("body", body)
+    return rows.select("page_id", F.array_join(text.sens_links(F.col("body")), " ").alias("links"), text.sens_date(F.col("body")).alias("day"))
+
+
+@query(r"""SELECT doc_id, left(regexp_replace(regexp_replace(regexp_replace(text, '[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'), '^ | $', '', 'g'), '[<>:"/\\|?*\[\]]', '', 'g'), 60) AS name, regexp_replace(left(text, 40), '[^\p{L}\p{N} _-]', '', 'g') AS note FROM documents""")
+def safe_names(spark, d):
+    t = F.col("text")
+    return views.table(spark, d, "documents").select("doc_id", text.safe_file_name(t).alias("name"), sinks.note_name(F.substring(t, 1, 40)).alias("note"))
+
+
+@query("SELECT doc_id, greatest(2000 + doc_id % 30, 2010 + doc_id % 13)::INT AS year, (make_date(2000 + doc_id % 30, CASE WHEN source = 'web' THEN 2 ELSE 12 END, 1) + INTERVAL 1 MONTH - INTERVAL 1 DAY)::DATE AS closes FROM documents", dates=("closes",))
+def file_years(spark, d):
+    i = F.col("doc_id")
+    name = F.concat(F.lit("r_"), (2010 + i % 13).cast("string"), F.lit("-v"), (2000 + i % 30).cast("string"), F.lit(".pdf"))
+    return views.table(spark, d, "documents").select("doc_id", text.file_year(name).alias("year"), text.fiscal_year_end(F.col("source"), (2000 + i % 30).cast("int"), {"WEB": 2}).alias("closes"))
+
+
+_FILES_SQL = "f AS (SELECT source AS ticker, 'f' || doc_id || '.pdf' AS name, CASE WHEN doc_id % 4 <> 0 THEN 2015 + doc_id % 9 END AS year, doc_id AS place FROM documents WHERE source IS NOT NULL), sel AS (SELECT ticker, CASE WHEN place % 3 = 0 THEN name ELSE 'unknown' END AS name FROM f WHERE place % 10 = 0 AND length(ticker) % 2 = 0)"
+
+
+@query(f"WITH {_FILES_SQL}, m AS (SELECT f.*, (ticker, name) IN (SELECT (ticker, name) FROM sel) AS asked FROM f), g AS (SELECT *, bool_or(asked) OVER (PARTITION BY ticker) AS found FROM m) SELECT ticker, name, coalesce(year, 0)::INT AS year, place FROM g WHERE asked = found QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY CASE WHEN found THEN place ELSE -coalesce(year, 0) END, place) <= 3")
+def chosen_files(spark, d):
+    i = F.col("doc_id")
+    files = views.table(spark, d, "documents").where("source is not null").select(F.col("source").alias("ticker"), F.concat(F.lit("f"), i.cast("string"), F.lit(".pdf")).alias("name"), F.when(i % 4 != 0, 2015 + i % 9).cast("int").alias("year"), i.alias("place"))
+    selected = files.where("place % 10 = 0 and length(ticker) % 2 = 0").select("ticker", F.when(F.col("place") % 3 == 0, F.col("name")).otherwise("unknown").alias("name"))
+    return filings.chosen_files(files, selected).withColumn("year", F.coalesce("year", F.lit(0)))
+
+
+@query(r"""WITH f AS (SELECT r_name AS ticker, n_name || '.pdf' AS name, n_nationkey AS seq FROM nation JOIN region ON n_regionkey = r_regionkey) SELECT ticker, name, row_number() OVER (PARTITION BY ticker ORDER BY -seq)::INT AS place FROM f WHERE seq % 5 <> 0""")
+def named_files(spark, d):
+    """Answers that list a region's nations, the last first, with bullets, twice."""
+    f = views.entity(spark, d).select(F.col("sector").alias("ticker"), F.concat("entity_name", F.lit(".pdf")).alias("name"), F.col("nation").alias("seq"))
+    rows = F.transform(F.reverse(F.array_sort(F.collect_list(F.struct("seq", "name")))), lambda x: F.concat(F.lit(" - 1) "), x["name"], F.lit(" fits")))
+    answers = f.where("seq % 5 <> 0").groupBy("ticker").agg(F.array_join(F.concat(rows, rows), "\r\n").alias("text"))
+    return filings.named_files(answers, f)
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE turn % 2 = 1 AND conv_id NOT IN (SELECT conv_id FROM conversations WHERE turn % 2 = 0 AND conv_id % 3 = 0)")
+def manifest_append(spark, d):
+    """What a manifest lacks is appended to it."""
+    c = views.table(spark, d, "conversations").select("conv_id", "turn", "role")
+    path = scratch(spark)
+    old = c.where("turn % 2 = 0 and conv_id % 3 = 0").withColumn("url", F.col("conv_id"))
+    sinks.append_manifest(old, c.where("turn % 2 = 1").withColumn("url", F.col("conv_id")), path)
+    return spark.read.parquet(path).drop("url")
+
+
+_ITEMS = "it AS (SELECT l_orderkey AS doc, l_linenumber AS page, l_returnflag AS concept, l_discount * 10 AS confidence, l_linenumber % 2 AS origin, l_partkey AS line FROM lineitem)"
+
+
+@query(f"WITH {_ITEMS}, b AS (SELECT * FROM it QUALIFY row_number() OVER (PARTITION BY doc, concept ORDER BY confidence DESC, page, origin, line) = 1) SELECT doc::BIGINT AS doc, concept, page::BIGINT AS page, line::BIGINT AS line, confidence < 0.8 AS low FROM b")
+def best_items(spark, d):
+    c = lambda n, a: F.col(n).cast("long").alias(a)
+    items = views.table(spark, d, "lineitem").select(c("l_orderkey", "doc"), c("l_linenumber", "page"), F.col("l_returnflag").alias("concept"), (F.col("l_discount") * 10).alias("confidence"), (F.col("l_linenumber") % 2).alias("origin"), c("l_partkey", "line"))
+    best = filings.best_items(items)
+    low = filings.low_confidence(best).select("doc", "concept", F.lit(True).alias("low"))
+    return best.join(low, ["doc", "concept"], "left").select("doc", "concept", "page", "line", F.coalesce("low", F.lit(False)).alias("low"))
+
+
+@query("SELECT s_suppkey::BIGINT AS doc, 'revenue' AS concept, round((s_suppkey * 1000 + 500) * 1e6, 2)::DOUBLE AS scaled_value, CASE WHEN s_suppkey % 2 = 0 THEN 0.9 ELSE 0.8 END::DOUBLE AS confidence FROM supplier UNION ALL SELECT s_suppkey, 'total_assets', -(s_suppkey * 1000 + 500) * 1e6, 0.95 FROM supplier")
+def extracted_rows(spark, d):
+    """A page for each supplier: revenue as a row of words, for every other one also as the same row of a table; total assets in words."""
+    s = views.table(spark, d, "supplier").select(F.col("s_suppkey").cast("long").alias("doc"), F.lit(1).alias("page"))
+    k = F.concat(F.col("doc").cast("string"), F.lit("500"))
+    word = lambda t, x0, x1, top: F.struct(t.alias("text"), F.lit(float(x0)).alias("x0"), F.lit(float(x1)).alias("x1"), F.lit(float(top)).alias("top"), F.lit(top + 10.0).alias("bottom"))
+    words = s.select("doc", "page", F.explode(F.array(word(F.lit("Revenue"), 10, 60, 100), word(k, 200, 240, 101), word(F.lit("Total"), 10, 40, 130), word(F.lit("assets"), 43, 80, 130), word(F.concat(F.lit("("), k, F.lit(")")), 200, 240, 130))).alias("w")).select("doc", "page", "w.*")
+    tables = s.where("doc % 2 = 0").select("doc", "page", F.lit(0).alias("line"), F.array(F.lit("Revenue "), k).alias("cells"))
+    pages = s.withColumns({"multiplier": F.lit(1e6), "scale_label": F.lit("millions")})
+    return filings.extract_rows(tables, words, pages).select("doc", "concept", F.round("scaled_value", 2).alias("scaled_value"), "confidence")
+
+
+@query("SELECT n_name AS entity_variant, 'Revenue' AS line_item, 2024::INT AS year, n_nationkey::DOUBLE * 1e6 AS value_zar FROM nation WHERE n_nationkey < 4 UNION ALL SELECT 'Cash ' || replace(n_name, '_', ' '), 'Interest paid', 2023, -n_nationkey * 16.5e6 FROM nation WHERE n_nationkey < 4")
+def workbook_lines(spark, d):
+    """Two workbooks for each of four nations, written, found, read and told apart by their sheets; a sheet README names the entity."""
+    folder = scratch(spark)
+    for r in views.table(spark, d, "nation").where("n_nationkey < 4").collect():
+        name, k = r["n_name"], r["n_nationkey"]
+        sinks.write_workbook(spark, f"{folder}/{k}_Financial_Extraction.xlsx", {"README": [[f"{name} — Financial Extraction"]], "Income Statement": [["Line item", "FY2024 (Rm)"], ["Revenue", float(k)]]})
+        sinks.write_workbook(spark, f"{folder}/Cash_{name}.xlsx", {"Sheet1": [["Cash flow (US$ million)"], ["Item", 2022.0, 2023.0], ["Interest paid", 1.0, float(-k)], ["Note 1"], ["Later", 5.0, 5.0]]})
+    return filings.external_lines(readers.read_workbooks(spark, folder)).select("entity_variant", "line_item", "year", "value_zar")

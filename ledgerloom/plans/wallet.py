@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from dataclasses import asdict
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ledgerloom.config import CONFIG, WalletConfig
 from ledgerloom.functions.rules import classify_line_item
-from ledgerloom.operators.relational import match_names, money, top_rows
+from ledgerloom.operators.relational import match_names, money
+from ledgerloom.operators.staging import ordered_prefix
 
 
 def tidy_ledger(books: dict[str, DataFrame], cfg: WalletConfig = CONFIG) -> DataFrame:
@@ -29,19 +32,37 @@ def tidy_ledger(books: dict[str, DataFrame], cfg: WalletConfig = CONFIG) -> Data
     return reduce(DataFrame.unionByName, parts).where("entity_id is not null and value_zar is not null")
 
 
+def facts(ledger: DataFrame, cfg: WalletConfig = CONFIG) -> DataFrame:
+    """One pass over the ledger: rows, sum, moments of the logs and first and last date of each client and pillar. Master, months
+    and prior are made of these few rows; keep them (``persist``) where several are wanted."""
+    y = F.log(F.greatest(F.col("value_zar"), F.lit(cfg.floor)))
+    return ledger.groupBy("entity_id", "entity_name", "sector", "pillar").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value_zar").cast("decimal(20,4)")).alias("total"), F.sum(y).alias("sum_ln"), F.sum(y * y).alias("sum_ln2"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+    )
+
+
 def entity_master(ledger: DataFrame) -> DataFrame:
+    """The distinct clients of a ledger or of its facts."""
     return ledger.select("entity_id", "entity_name", "sector").distinct()
 
 
-def observed_months(ledger: DataFrame) -> DataFrame:
-    return ledger.groupBy("entity_id").agg(F.greatest(F.lit(1), F.bround(F.datediff(F.max("date"), F.min("date")) / F.lit(30.44)).cast("int")).alias("months"))
+def client_names(books: dict[str, DataFrame]) -> DataFrame:
+    """The distinct names in all books, sorted, without nulls."""
+    return reduce(DataFrame.union, [b.select("entity_name") for b in books.values()]).where("entity_name is not null").distinct().orderBy("entity_name")
 
 
-def internal_prior(ledger: DataFrame, cfg: WalletConfig = CONFIG) -> DataFrame:
-    """Prior of every entity and pillar, with the defaults for none and for one row."""
-    y = F.log(F.greatest(F.col("value_zar"), F.lit(cfg.floor)))
-    stats = ledger.groupBy("entity_id", "pillar").agg(F.count(F.lit(1)).alias("n"), money("value_zar").alias("total"), F.avg(y).alias("mean_ln"), F.var_samp(y).alias("var_ln"))
-    grid = ledger.select("entity_id").distinct().withColumn("pillar", F.explode(F.array(*[F.lit(p) for p in cfg.pillars])))
+def observed_months(known: DataFrame) -> DataFrame:
+    """Months between a client's first and last row, 1 at least, from the facts."""
+    return known.groupBy("entity_id").agg(F.greatest(F.lit(1), F.bround(F.datediff(F.max("last_date"), F.min("first_date")) / F.lit(30.44)).cast("int")).alias("months"))
+
+
+def internal_prior(known: DataFrame, cfg: WalletConfig = CONFIG) -> DataFrame:
+    """Prior of every client and pillar from the facts, with the defaults for none and for one row."""
+    stats = known.groupBy("entity_id", "pillar").agg(F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"), F.sum("sum_ln").alias("s1"), F.sum("sum_ln2").alias("s2"))
+    spread = F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.lit(0.0)) / (F.col("n") - 1)
+    stats = stats.withColumns({"mean_ln": F.col("s1") / F.col("n"), "var_ln": F.when(F.col("n") > 1, spread)})
+    grid = known.select("entity_id").distinct().withColumn("pillar", F.explode(F.array(*[F.lit(p) for p in cfg.pillars])))
     n = F.coalesce("n", F.lit(0))
     a0_none = max(cfg.k0_no_data / 2, cfg.a0_min)
     captured = F.when(n == 0, cfg.floor).otherwise(F.greatest("total", F.lit(cfg.floor)))
@@ -52,13 +73,13 @@ def internal_prior(ledger: DataFrame, cfg: WalletConfig = CONFIG) -> DataFrame:
 
 
 def signal_log(external: DataFrame, master: DataFrame, months: DataFrame, cfg: WalletConfig = CONFIG) -> DataFrame:
-    """Line items of each entity's latest year that aren't restated, classified, as logs of scaled volume."""
+    """Line items of each entity's latest year that aren't restated, classified (``note``: by which rule), as logs of scaled volume."""
     known = external.where("not coalesce(restated, false)").join(match_names(external, master), "entity_variant").where("entity_id is not null")
     latest = known.groupBy("entity_id").agg(F.max("year").alias("year"))
     rows = known.join(latest, ["entity_id", "year"]).withColumn("c", classify_line_item(F.col("line_item"))).join(months, "entity_id", "left")
     volume = F.log(F.abs("value_zar") * F.col("c.multiplier")) + F.log(F.coalesce("months", F.lit(cfg.default_observed_months)) / F.lit(cfg.reporting_months))
     signal = F.when(F.col("c.pillar").isin(*cfg.pillars) & (F.col("value_zar") != 0), volume)
-    return rows.select("entity_id", "entity_variant", "line_item", "year", F.col("c.pillar").alias("pillar"), F.col("c.multiplier").alias("ci_multiplier"), F.col("value_zar").alias("raw_value_zar"), signal.alias("x_i"))
+    return rows.select("entity_id", "entity_variant", "line_item", "year", F.col("c.pillar").alias("pillar"), F.col("c.multiplier").alias("ci_multiplier"), F.col("c.note").alias("note"), F.col("value_zar").alias("raw_value_zar"), signal.alias("x_i"))
 
 
 def ceilings(log: DataFrame) -> DataFrame:
@@ -138,7 +159,8 @@ def portfolio(detail: DataFrame, master: DataFrame) -> DataFrame:
     high = F.col("taw_median_zar") + F.col("taw_half_width_zar")
     rows = rows.withColumn("taw_lo_zar", F.greatest(F.col("taw_median_zar") - F.col("taw_half_width_zar"), F.col("captured_zar"))).withColumn("taw_hi_zar", F.when(F.col("ceiling_zar").isNotNull(), F.least(high, F.col("ceiling_zar"))).otherwise(high))
     rows = rows.withColumn("captured_share_pct", 100 * F.try_divide("captured_zar", "taw_median_zar")).withColumn("wallet_gap_zar", F.col("taw_median_zar") - F.col("captured_zar")).withColumn("has_external_evidence", F.col("n_external_signals") > 0)
-    return rows.withColumn("opportunity_rank", F.row_number().over(Window.orderBy(F.col("wallet_gap_zar").desc(), "entity_id"))).drop("ceiling_zar")  # a row a client
+    ranked = ordered_prefix(rows.drop("ceiling_zar"), [F.col("wallet_gap_zar").desc(), F.col("entity_id")], {}, "opportunity_rank")
+    return ranked.withColumn("opportunity_rank", F.col("opportunity_rank").cast("int"))
 
 
 def book_sums(books: dict[str, DataFrame], low: str, high: str) -> DataFrame:
@@ -156,3 +178,24 @@ def wallet_summary(sums: DataFrame, proxies: DataFrame) -> DataFrame:
     parts = ["revenue_domestic_zar", "cost_of_revenue_zar", "revenue_international_zar", "total_borrowings_zar"]
     wallet = proxies.select("entity_name", reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0.0)) for c in parts]).alias("wallet"))
     return sums.join(wallet, "entity_name", "left").select("entity_id", "entity_name", "syn_wallet", "wallet", (F.col("wallet") - F.col("syn_wallet")).alias("wallet_gap"), F.try_divide("syn_wallet", "wallet").alias("syn_proportion"))
+
+
+def config_rows(cfg: WalletConfig = CONFIG) -> list[tuple[str, str]]:
+    """(setting, value): tables and lists as JSON, everything else as text."""
+    return [(k, json.dumps(v) if isinstance(v, (dict, list, tuple)) else str(v)) for k, v in asdict(cfg).items()]
+
+
+def config_sheet(spark: SparkSession, ceiling: DataFrame, cfg: WalletConfig = CONFIG) -> DataFrame:
+    """The settings and, below them, each client's ceiling: (block, name, value)."""
+    settings = spark.createDataFrame([("config", *r) for r in config_rows(cfg)], "block string, name string, value string")
+    return settings.unionByName(ceiling.select(F.lit("ceiling").alias("block"), F.col("entity_id").alias("name"), F.col("ceiling_zar").cast("string").alias("value")))
+
+
+def report_sheets(spark: SparkSession, ledger: DataFrame, external: DataFrame, cfg: WalletConfig = CONFIG) -> dict[str, DataFrame]:
+    """The five sheets of the wallet report, by name."""
+    known = facts(ledger, cfg).persist()
+    master = entity_master(known)
+    log = signal_log(external, master, observed_months(known), cfg)
+    ceiling = ceilings(log)
+    detail = pillar_detail(posterior(internal_prior(known, cfg), log, cfg), ceiling, cfg)
+    return {"Portfolio Summary": portfolio(detail, master), "Pillar Detail": detail, "External Signal Log": log, "Config": config_sheet(spark, ceiling, cfg), "Entity Master": master}

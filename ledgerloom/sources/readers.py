@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import json
 import re
+import warnings
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -31,6 +33,41 @@ def find_source(names: list[str], base: str) -> str | None:
     return next((low[base.lower() + ext] for ext in (".csv", ".xlsx", ".xls") if base.lower() + ext in low), None)
 
 
+def load_ledgers(spark: SparkSession, folder: str, names: list[str], schemas: dict[str, str]) -> dict[str, DataFrame]:
+    """The books found in ``folder`` by base name; a missing one warns, none at all is an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = [x.getPath().getName() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    out: dict[str, DataFrame] = {}
+    for name in names:
+        found = find_source(there, name)
+        if found is None:
+            warnings.warn(f"no {name}.csv or .xlsx in {folder}", stacklevel=2)
+        elif found.lower().endswith(".csv"):
+            out[name] = read_ledger(spark, f"{folder}/{found}", schemas[name])
+        else:
+            out[name] = sheet_table(read_workbooks(spark, f"{folder}/{found}"), "Sheet1", schemas[name])
+    if not out:
+        raise FileNotFoundError(f"none of {', '.join(names)} in {folder}")
+    return out
+
+
+def sheet_table(cells: DataFrame, sheet: str, schema: str) -> DataFrame:
+    """A sheet whose first row holds the columns' names, as a table; a cell that doesn't parse is null."""
+    own = cells.where(F.col("sheet") == sheet).withColumn("v", F.coalesce("str", F.col("num").cast("string")))
+    head = own.where("row_idx = 0").select("file", "col_idx", F.trim("v").alias("name"))
+    fields = [f.split() for f in schema.split(",")]
+    body = own.where("row_idx > 0").join(head, ["file", "col_idx"]).groupBy("file", "row_idx").pivot("name", [n for n, _ in fields]).agg(F.first("v"))
+    return body.select(*[F.col(n).try_cast(k).alias(n) for n, k in fields])
+
+
+def read_overrides(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    """A JSON object of objects as rows: ``key`` holds each entry's name, ``seq`` its place (a name may come twice)."""
+    pairs: list[tuple] = json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()), object_pairs_hook=list)
+    fields = [f.split()[0] for f in schema.split(",")]
+    rows = [(k, *[dict(v).get(f) for f in fields], i) for i, (k, v) in enumerate(pairs)]
+    return spark.createDataFrame(rows, f"{key} string, {schema}, seq int")
+
+
 def workbook_cells(data: bytes) -> Iterator[tuple[str, int, int, float | None, str | None]]:
     """(sheet, row, column, number, text) of the filled cells of an .xlsx file."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:

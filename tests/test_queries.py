@@ -41,7 +41,7 @@ def test_portfolio_invariants(spark):
     assert sorted(r["opportunity_rank"] for r in rows) == list(range(1, len(rows) + 1))
     assert all(r["taw_lo_zar"] >= r["captured_zar"] - 1e-6 for r in rows)
     detail = QUERIES["pillar_detail"](spark, DATA).collect()
-    assert all(r["hi"] >= r["lo"] for r in detail) and any(r["captured"] == 1.0 for r in detail)
+    assert all(r["hi"] >= r["lo"] for r in detail)
 
 
 def test_forecast(spark):
