@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import mixing, segmenting, toxicity
-from ledgerloom.llm.common import materialize
 from ledgerloom.llm.neardup import near_duplicates
 from ledgerloom.llm.substring import drop_repeats
+from ledgerloom.operators.staging import mark, materialize, sweep
 
 #: A text goes from this score on.
 TOXIC = 0.7
@@ -62,10 +62,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written before the next stage reads it."""
+    """All stages over ``documents``, each result written before the next stage reads it. What a stage wrote on its way, and
+    the result before, are removed once its own result is written; the last stage's go when Python ends."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialize(docs)
-    return docs
+    start = mark()
+    for _, stage in STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        end = mark()
+        docs = materialize(out)
+        sweep(start, end)
+        start = end
+    return STAGES[-1][1](spark, docs, sf_dir)
