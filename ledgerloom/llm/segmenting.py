@@ -1,11 +1,13 @@
 """Sampled segmentations of texts into the pieces of a public vocabulary, without replacement, and their decoding.
 
-The lattice of a text has the vocabulary's pieces as edges; a piece's probability follows Zipf's law in its merge rank.
+The lattice of a text has the vocabulary's pieces as edges; a piece's probability follows Zipf's law in its merge rank. The
+vocabulary normalises nothing but puts a blank ahead of the text, and so do we.
 Pieces don't reach over the start of a word, so the lattice is a chain of small ones, and equal words share theirs.
 A best-first search over perturbed scores (Gumbel top-k) emits the ``k`` segmentations with the largest perturbed
-log-probabilities: a node stands for a decision and all pieces not taken there, and carries their common maximum, a
-Gumbel truncated at its parent's; the largest node is split next. That equals drawing without replacement. Every number
-drawn is a hash of the row's key, so results don't depend on how rows are dealt.
+log-probabilities: a node stands for all paths that leave a known one within a range of its decisions, and carries their
+common maximum, a Gumbel truncated at its parent's; the largest node is split next, at a decision drawn by its share. That
+equals drawing without replacement. Every number drawn is a hash of the row's key, so results don't depend on how rows are
+dealt.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.textvec import mix, slices
@@ -100,7 +102,7 @@ class _Table:
     """A numpy table that grows at its end."""
 
     def __init__(self, kind):
-        self.data, self.size = np.zeros(1 << 12, kind), 0
+        self.data, self.size = np.empty(3 * KEPT_CHARS, kind), 0  # takes memory as far as it is filled
 
     def add(self, values: np.ndarray) -> None:
         n = self.size + len(values)
@@ -255,17 +257,6 @@ class Lattice:
         return out, steps
 
 
-def _uniform(key: np.ndarray) -> np.ndarray:
-    return ((mix(key) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-
-
-def _truncated(location: np.ndarray, bound, key: np.ndarray) -> np.ndarray:
-    """Gumbel variables of the given locations that are at most ``bound``."""
-    with np.errstate(invalid="ignore"):
-        out = location - np.log(np.exp(location - bound) - np.log(_uniform(key)))
-    return np.where(np.isneginf(location), -np.inf, out)
-
-
 def _mix_one(x: int) -> int:
     """``mix`` of one number."""
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
@@ -280,22 +271,40 @@ def _one(key: int, *more: int) -> float:
     return ((_mix_one(key) >> 11) + 0.5) * 2.0**-53
 
 
-def _rest(lat: Lattice, edges: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Log-probability of all paths that agree up to each decision and then take another piece."""
-    with np.errstate(divide="ignore"):
-        return before + np.log1p(-np.minimum(lat.prob[edges], 1.0))
-
-
 def _int(key: np.ndarray, *more: int) -> np.ndarray:
     for x in more:
         key = mix(key + np.uint64(int(_C1) * (x + 1) % 2**64))
     return key
 
 
-def _path(e: np.ndarray, word: np.ndarray | None, before: np.ndarray, g: np.ndarray, phi: float) -> dict:
-    """A segmentation: its edges, their words, log-probabilities ahead of each, perturbed rests, and the largest of those."""
-    at = int(g.argmax())
-    return {"e": e, "word": word, "before": before, "g": g, "phi": phi, "at": at, "top": float(g[at])}
+def _gumbel(location: float, bound: float, u: float) -> float:
+    """A Gumbel variable of that location that is at most ``bound``."""
+    if location == -math.inf:
+        return -math.inf
+    return location - math.log(math.exp(min(location - bound, 700.0)) - math.log(u))
+
+
+def _less(a: float, b: float) -> float:
+    """log(exp(a) - exp(b))"""
+    return a + math.log(-math.expm1(b - a)) if b < a else -math.inf
+
+
+class _Path:
+    """A segmentation: its edges, the words they belong to, and the log-probabilities ahead of each decision and behind the last."""
+
+    def __init__(self, edges: np.ndarray, word: np.ndarray, gains: np.ndarray):
+        self.edges, self.word = edges, word
+        self.ahead = np.zeros(len(gains) + 1)
+        np.cumsum(gains, out=self.ahead[1:])
+        self.phi = float(self.ahead[-1])
+
+    def decision(self, low: int, high: int, u: float) -> int:
+        """The decision from ``low`` on and ahead of ``high`` at which another piece is taken, by its share of the probability of
+        all paths that leave this one there."""
+        ahead = self.ahead
+        start = float(ahead[low])
+        limit = math.log1p(u * math.expm1(float(ahead[high]) - start))
+        return low + min(int(np.searchsorted(start - ahead[low + 1 : high + 1], -limit, side="left")), high - low - 1)
 
 
 def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K, lat: Lattice | None = None) -> Iterator[tuple[int, int, list[int], float, float]]:
@@ -323,72 +332,61 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
         e, steps = lat.sample(unit, order, _int(keys, s)[owner] + _C1 * place.astype(np.uint64))
         bounds = np.concatenate(([0], np.cumsum(np.bincount(owner, steps, len(texts)).astype(np.int64))))
         samples.append((e, np.repeat(place.astype(np.int32), steps), bounds))
-    # The first path of all texts at once: log-probabilities ahead of each decision, and the perturbed rest there.
-    e, _, bounds = samples[0]
-    size = np.diff(bounds)
-    roots = -np.log(-np.log(_uniform(_int(keys, 1001))))
-    gains = lat.logprob[e]
-    ahead = np.zeros(len(e))
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):  # text by text: sums don't depend on the others
-        if b - a > 1:
-            np.cumsum(gains[a : b - 1], out=ahead[a + 1 : b])
-    spots = np.arange(len(e), dtype=np.uint64) - np.repeat(bounds[:-1], size).astype(np.uint64)
-    rests = _truncated(_rest(lat, e, ahead), np.repeat(roots, size), np.repeat(_int(keys, 5001, 0), size) + _C2 * spots)
     for i in range(len(texts)):
         if not count[i]:
             yield i, 1, [], 0.0, 0.0
             continue
         key = int(keys[i])
-        paths: list[dict] = []
-        excluded: dict[tuple, list[int]] = {}
+        paths: list[_Path] = []
+        top = -math.log(-math.log(_one(key, 1001)))
+        # What is left, in groups that share a largest perturbed log-probability: (that, path, from, to, pieces taken there). A group
+        # is all paths that leave the path at a decision between the two, or, with pieces taken, those that take none of them.
+        groups: list[tuple[float, int, int, int, tuple]] = []
         for s in range(k):
             e, at, b = samples[s]
             own, word = e[b[i] : b[i + 1]], at[b[i] : b[i + 1]]
             if s == 0:
-                here = slice(b[i], b[i + 1])
-                paths.append(_path(own, word, ahead[here], rests[here], float(ahead[b[i + 1] - 1] + gains[b[i + 1] - 1])))
+                paths.append(_Path(own, word, lat.logprob[own]))
+                groups.append((_gumbel(_less(0.0, paths[0].phi), top, _one(key, 5001, 0)), 0, 0, len(own), ()))
                 continue
-            p = max(range(len(paths)), key=lambda j: paths[j]["top"])
-            old = paths[p]
-            t, bound = old["at"], old["top"]
+            groups.sort(reverse=True)
+            bound, p, low, high, taken = groups.pop(0)
             if bound == -math.inf:
                 break  # there are no further segmentations
-            taken = excluded.setdefault((p, t), [int(old["e"][t])])
-            node = int(np.searchsorted(lat.first, old["e"][t], side="right")) - 1
-            others = [x for x in range(int(lat.first[node]), int(lat.first[node + 1])) if x not in taken]
+            old = paths[p]
+            t = low if taken else old.decision(low, high, _one(key, 6001, s))
+            a = int(old.edges[t])
+            node = int(np.searchsorted(lat.first, np.int32(a), side="right")) - 1
+            others = [x for x in range(int(lat.first[node]), int(lat.first[node + 1])) if x not in (taken or (a,))]
+            while not others:  # a decision without another piece, met by rounding
+                t -= 1
+                a = int(old.edges[t])
+                node = int(np.searchsorted(lat.first, np.int32(a), side="right")) - 1
+                others = [x for x in range(int(lat.first[node]), int(lat.first[node + 1])) if x != a]
             share = list(accumulate(lat.prob[others].tolist()))
             pick = others[min(bisect_right(share, _one(key, 2001, s) * share[-1]), len(others) - 1)]
-            rest_mass = share[-1] - float(lat.prob[pick])
-            taken.append(pick)
-            left = -math.inf
-            if len(others) > 1 and rest_mass > 0:
-                location = float(old["before"][t]) + math.log(rest_mass)
-                left = location - math.log(math.exp(location - bound) - math.log(_one(key, 3001, s)))
-            old["g"][t] = left
             tail, node, step = [pick], int(lat.to[pick]), 0
             while node >= 0:  # to the end of this unit
                 x, y = int(lat.first[node]), int(lat.first[node + 1])
                 tail.append(x + min(bisect_right(lat.cum[x:y].tolist(), _one(key, 4001, s, step)), y - x - 1))
                 node, step = int(lat.to[tail[-1]]), step + 1
-            w = old["word"][t]
+            w = old.word[t]
             cut = int(np.searchsorted(word, w, side="right"))
-            own = np.concatenate((old["e"][:t], tail, own[cut:]))
-            word = np.concatenate((old["word"][:t], np.full(len(tail), w), word[cut:])) if s < k - 1 else None
-            before = np.empty(len(own) + 1)  # the same as the old path's up to t
-            before[: t + 1] = old["before"][: t + 1]
-            before[t + 1 :] = lat.logprob[own[t:]]
-            np.cumsum(before[t:], out=before[t:])
-            g = np.full(len(own), -np.inf)
-            spots = np.arange(t + 1, len(own), dtype=np.uint64)
-            g[t + 1 :] = _truncated(_rest(lat, own[t + 1 :], before[t + 1 : -1]), bound, _int(keys[i : i + 1], 5001, s) + _C2 * spots)
-            paths[p] = _path(old["e"], old["word"], old["before"], old["g"], old["phi"])
-            paths.append(_path(own, word, before[:-1], g, float(before[-1])))
-        limit = max([p["top"] for p in paths])
+            own = np.concatenate((old.edges[:t], np.array(tail, np.int32), own[cut:]))
+            word = np.concatenate((old.word[:t], np.full(len(tail), w, np.int32), word[cut:])) if s < k - 1 else word[:0]  # the last is never split
+            new = _Path(own, word, lat.logprob[own])
+            paths.append(new)
+            rest = math.log(max(share[-1] - float(lat.prob[pick]), 0.0) or 1e-320) if len(others) > 1 else -math.inf
+            parts = [(float(old.ahead[t]) + rest, p, t, t + 1, (*(taken or (a,)), pick)), (_less(float(new.ahead[t + 1]), new.phi), s, t + 1, len(own), ())]
+            if not taken:
+                parts += [(_less(float(old.ahead[low]), float(old.ahead[t])), p, low, t, ()), (_less(float(old.ahead[t + 1]), float(old.ahead[high])), p, t + 1, high, ())]
+            groups += [(_gumbel(location, bound, _one(key, 3001, s, j)), *group) for j, (location, *group) in enumerate(parts)]
+        limit = max([g[0] for g in groups], default=-math.inf)
         for s, p in enumerate(paths):
-            phi = p["phi"]
+            phi = p.phi
             rate = phi - limit
             include = 0.0 if limit == -math.inf else (math.log(-math.expm1(-math.exp(min(rate, 700.0)))) if rate > -30 else rate)
-            found = lat.piece[p["e"]]
+            found = lat.piece[p.edges]
             if found.min() >= 0:
                 out = found
             elif found.min() >= -128:  # signs of one byte
@@ -400,15 +398,48 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
             yield i, s + 1, out, phi, include
 
 
+def _parts(v: Vocabulary) -> list[bytes]:
+    """What each piece stands for; control pieces for nothing."""
+    return [bytes([int(p[3:5], 16)]) if k == 1 else b"" if k == 2 else p.replace(_SPACE, " ").encode() for p, k in zip(v.pieces, v.kinds.tolist(), strict=True)]
+
+
 def decode(ids: list[int], v: Vocabulary) -> str:
-    """The text of a segmentation."""
-    out = bytearray()
-    for i in ids:
-        out += bytes([int(v.pieces[i][3:5], 16)]) if v.kinds[i] == 1 else v.pieces[i].encode()
-    text = out.decode().replace(_SPACE, " ")
+    """The text of a segmentation; bytes that form no character become the replacement sign."""
+    return _text(ids, _parts(v))
+
+
+def _text(ids: list[int], parts: list[bytes]) -> str:
+    text = b"".join([parts[i] for i in ids]).decode(errors="replace")
     return text[1:] if text.startswith(" ") else text
 
 
+def _decoder(parts: list[bytes], names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [None if ids is None else _text([i for i in ids if i is not None and 0 <= i < len(parts)], parts) for ids in part.column(0).to_pylist()]
+                yield pa.record_batch([*[part.column(i) for i in range(1, part.num_columns)], pa.array(texts, pa.string())], names=[*names, "text"])
+
+    return run
+
+
+def decode_rows(pieces: DataFrame, ids_col: str = "token_ids", model_path: str | None = None, carry: tuple[str, ...] = ("doc_id", "sample")) -> DataFrame:
+    """The columns in ``carry`` and the text of each row's piece ids.
+
+    Null ids give a null text, no ids an empty one; null or unknown ids within a list are left out. Rows are neither joined
+    nor moved. An empty table gives an empty table.
+    """
+    kinds = ", ".join(f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in carry)
+    rows = pieces.select(F.col(ids_col).cast("array<int>"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
+    return rows.mapInArrow(_decoder(_parts(load(model_path or model_file(pieces.sparkSession))), list(carry)), f"{kinds}, text string")
+
+
+def model_file(spark: SparkSession) -> str:
+    """The vocabulary: what the session sets in spark.ledgerloom.pieces, else MODEL_PATH."""
+    return spark.conf.get("spark.ledgerloom.pieces", MODEL_PATH)
+
+
 def _encoder(v: Vocabulary, k: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = Lattice([], v)
@@ -432,7 +463,7 @@ def _encoder(v: Vocabulary, k: int, names: list[str]):
     return run
 
 
-def encode(docs: DataFrame, k: int = K, seed: int = SEED, model_path: str = MODEL_PATH, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def encode(docs: DataFrame, k: int = K, seed: int = SEED, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Up to ``k`` distinct segmentations of each text: id, ``carry``, sample, token_ids, log_prob, log_inclusion.
 
     The key of a row is its id (null: its text). Null and empty texts have one segmentation, the empty one; a text with
@@ -440,7 +471,7 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model_path: str = MODE
     columns are ignored. An empty table gives an empty table. Decoding gives the text back, unless it holds the
     vocabulary's own sign for a blank.
     """
-    v = load(model_path)
+    v = load(model_path or model_file(docs.sparkSession))
     names = [id_col, *carry]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")))
