@@ -19,7 +19,7 @@ from ledgerloom.llm.textvec import pieces, slices
 
 SIZES, BUCKETS, DIM, WORST = (3, 4, 5), 1 << 17, 6, 3
 #: Bound of the training sample: rows a label, and bytes a label (the row that crosses that bound is the last).
-SAMPLE, SAMPLE_BYTES = 2000, 32 << 20
+SAMPLE, SAMPLE_BYTES = 1200, 16 << 20
 
 
 def worst_words(word: np.ndarray, first: np.ndarray, size: int = WORST) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -61,8 +61,8 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, seed: int = 7)
     at[base] = owner
     for pos, bucket in g.of(SIZES, BUCKETS):
         ok = at[pos] >= 0
-        gram_word.append(at[pos][ok])
-        gram_bucket.append(bucket[ok].astype(np.int64))
+        gram_word.append(at[pos][ok].astype(np.int32))
+        gram_bucket.append(bucket[ok].astype(np.int32))
     gram_word, gram_bucket = np.concatenate(gram_word), np.concatenate(gram_bucket)
     order = np.argsort(gram_word, kind="stable")
     gram_word, gram_bucket = gram_word[order], gram_bucket[order]
