@@ -255,10 +255,10 @@ def _settled(many: DataFrame, label: DataFrame, texts: DataFrame, threshold: flo
     compared as matrices, so that no row is made for a pair, and no task holds more than two blocks.
     """
     at = materialize(many.select("band", "node").join(label, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")))
-    main = at.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("main"), F.sum("count").alias("n"))
+    main = at.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("main"), F.sum("count").alias("n"), (F.sum("count") - F.max("count")).alias("u"))
+    main = materialize(main.where("u > 0"))  # written, so that Spark can split a hot bucket in the join
     at = at.join(main, "band").withColumn("out", F.col("label") != F.col("main"))
-    sizes = at.groupBy("band").agg(F.sum(F.col("out").cast("int")).alias("u")).where("u > 0")
-    at = at.join(sizes, "band").withColumn("nl", F.ceil(F.col("u") / BLOCK).cast("int")).withColumn("nr", F.ceil(F.col("n") / BLOCK).cast("int"))
+    at = at.withColumn("nl", F.ceil(F.col("u") / BLOCK).cast("int")).withColumn("nr", F.ceil(F.col("n") / BLOCK).cast("int"))
     own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = at.where("out").select("band", "node", "label", own("nl", 1).alias("l"), every("nr").alias("r"), F.lit(0).alias("side"))
