@@ -19,8 +19,9 @@ from ledgerloom.llm.ngrams import Grams
 from ledgerloom.llm.textvec import pieces, slices
 
 SIZES, BUCKETS = (1, 2, 3), 1 << 13
-#: Bound of the training sample: rows a language, and characters of a text that is taken into it.
-SAMPLE, LONGEST = 400, 30_000
+#: Bounds of the training sample: rows a language, languages (the most frequent), rows and bytes of text in all, which the
+#: languages share evenly (the row that crosses a language's share of the bytes is its last).
+SAMPLE, LANGUAGES, SAMPLE_ROWS, SAMPLE_BYTES, SALTS = 400, 100, 4000, 64 << 20, 16
 #: Families by language code; a language that is not named here is a family of its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "is", "af"),
@@ -40,10 +41,15 @@ def family_of(lang: str) -> str:
 
 
 def frequencies(texts: list[bytes]) -> np.ndarray:
-    out = np.zeros((len(texts), BUCKETS), np.float32)
-    for i, t in enumerate(texts):
-        for _, bucket in Grams([t], _BLANK).of(SIZES, BUCKETS):
-            out[i] += np.bincount(bucket, minlength=BUCKETS)
+    """(texts, buckets): each bucket's share of the text's n-grams."""
+    out = np.zeros((len(texts), BUCKETS))
+    for at in range(0, len(texts), 128):
+        own = texts[at : at + 128]
+        g, cells = Grams(own, _BLANK), len(own) * BUCKETS
+        owner = np.repeat(np.arange(len(own)), [len(t) + 1 for t in own])  # of each byte, the blank before a text included
+        owner = np.concatenate((owner, [len(own) - 1] * (len(g.buf) - len(owner))))
+        for pos, bucket in g.of(SIZES, BUCKETS):
+            out[at : at + 128] += np.bincount(owner[pos] * BUCKETS + bucket, minlength=cells).reshape(len(own), BUCKETS)
     return out / np.maximum(out.sum(1, keepdims=True), 1)
 
 
@@ -65,7 +71,7 @@ def svm(x: np.ndarray, y: np.ndarray, steps: int = 300, reg: float = 1e-3) -> tu
 
 def train(texts: list[str], langs: list[str]) -> dict:
     """Tables of weights by n-gram bucket: one column for each family machine and each pair of related languages."""
-    x = frequencies([t.lower().encode() for t in texts])
+    x = frequencies([t.lower().encode() for t in texts]).astype(np.float32)
     scale = 1 / (x.std(0) + 1e-4)
     scale /= np.sqrt((((x * scale) ** 2).sum(1)).mean())
     x = (x * scale).astype(np.float32)
@@ -83,22 +89,13 @@ def train(texts: list[str], langs: list[str]) -> dict:
         machines.append((step, a, b))
         columns.append(w * scale)
         offsets.append(o)
-    table = np.stack(columns, 1).astype(np.float32) if columns else np.zeros((BUCKETS, 0), np.float32)
+    table = np.stack(columns, 1).astype(np.float64) if columns else np.zeros((BUCKETS, 0))
     return {"table": table, "offsets": np.array(offsets), "machines": machines, "families": {f: sorted(set(langs[fam == f])) for f in families}}
 
 
 def margins(model: dict, texts: list[bytes]) -> np.ndarray:
     """(texts, machines) signed distances."""
-    g = Grams(texts, _BLANK)
-    k = model["table"].shape[1]
-    total, count = np.zeros((len(g.buf) + 1, k)), np.zeros(len(g.buf) + 1)
-    for pos, bucket in g.of(SIZES, BUCKETS):
-        total[pos + 1] += model["table"][bucket]
-        count[pos + 1] += 1
-    bounds = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    np.cumsum(total, axis=0, out=total)
-    count = np.cumsum(count)
-    return (total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(count[bounds[1:]] - count[bounds[:-1]], 1)[:, None] + model["offsets"]
+    return np.concatenate([frequencies(texts[at : at + 128]) @ model["table"] for at in range(0, len(texts), 128)]) + model["offsets"]
 
 
 def decide(model: dict, m: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -149,16 +146,30 @@ def _predictor(model: dict | None, names: list[str]):
 
 
 def fit(docs: DataFrame, fold: tuple[int, int] | None = (4, 2), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict | None:
-    """Train on at most SAMPLE rows of each language; rows whose crc32(id) mod n is k are never learned from."""
+    """Train on a bounded sample of each of the LANGUAGES most frequent languages, texts of any length, those of the smallest
+    hashes of ids; rows whose crc32(id) mod n is k are never learned from.
+
+    Null ids, texts and languages are left out; of several texts of one id and language the smallest is taken. None if
+    there is nothing to learn from.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"), F.col(lang_col).alias("lang")).where("doc is not null and body is not null and lang is not null")
-    rows = rows.where(F.length("body") <= LONGEST)
     if fold:
         rows = rows.where(crc_bucket(F.col("doc"), fold[0]) != fold[1])
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc"), "doc")
-    small = rows.select("doc", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE).select("doc", "lang")
-    got = rows.join(F.broadcast(small), ["doc", "lang"]).dropDuplicates(["doc", "lang"]).collect()  # SAMPLE a language
-    got.sort(key=lambda r: (r["doc"], r["lang"]))
-    return train([r["body"] for r in got], [r["lang"] for r in got]) if got else None
+    known = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    if not known:
+        return None
+    each = max(1, min(SAMPLE, SAMPLE_ROWS // len(known)))
+    heads = rows.where(F.col("lang").isin(known)).select("doc", "lang", F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(SALTS)).alias("salt"))
+    order = [F.xxhash64("doc"), F.col("doc")]
+    for keys in (["lang", "salt"], ["lang"]):  # in parts first: no task ranks a whole language
+        first = F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order))
+        heads = heads.withColumn("r", first).where(F.col("r") <= each)
+    small = F.broadcast(heads.select("doc", "lang").distinct())  # SAMPLE_ROWS at most
+    got = rows.join(small, ["doc", "lang"]).groupBy("doc", "lang").agg(F.min("body").alias("body")).withColumn("size", F.octet_length("body").cast("long"))
+    before = Window.partitionBy("lang").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    got = got.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).where(F.col("before") < SAMPLE_BYTES // len(known))
+    got = sorted(got.select("doc", "lang", "body").collect())
+    return train([r["body"] for r in got], [r["lang"] for r in got])
 
 
 def predict(docs: DataFrame, model: dict | None, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

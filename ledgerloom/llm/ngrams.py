@@ -38,8 +38,8 @@ class Grams:
             h = h[: n - size + 1] + wide[size - 1 :] * _FACTORS[size - 1]
             if size in sizes:
                 pos = np.flatnonzero(self.next_blank[: len(h)] >= np.arange(size - 1, size - 1 + len(h)))
-                if size == 1:
-                    pos = pos[self.buf[pos] != 32]
+                if size < 3:  # not blanks alone
+                    pos = pos[(self.buf[pos] != 32) | (self.buf[pos + size - 1] != 32)]
                 x = h[pos] + np.uint32(size * 0x9E3779B1 % 2**32)
                 x ^= x >> np.uint32(15)
                 x *= np.uint32(0x2C1B3C6D)
