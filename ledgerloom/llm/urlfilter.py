@@ -1,21 +1,36 @@
-"""URL filters with DataFrame functions only: rules by host and path, else logistic regression on hashed character
-trigrams of host and path. The model is fitted in one SQL expression, by gradient descent over a small labelled table,
-and then stands in the scoring expression as an array of weights.
+"""URL filters with DataFrame functions only: rules by host and path, else logistic regression on hashed character n-grams of
+host and path. The model is fitted in one SQL expression, by gradient descent over a small labelled table, and then stands
+in the scoring expression as an array of weights.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS, EPOCHS, RATE, CUT = 256, 120, 6.0, 0.5
+BUCKETS, SIZES, EPOCHS, RATE, CUT = 1 << 14, (3, 4), 80, 8.0, 0.5
 #: (rule, verdict): host, then the path that the url's path must start with.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: The labelled URLs: 1 is spam.
-LABELLED = tuple(
-    [(f"{h}{p}", 1) for h in ("spam-farm.example.org", "cheap-pills.example.com", "casino-bonus.test", "free-loans.example.org", "buy-followers.test", "hot-deals.example.com", "win-prize.test", "best-casino.example.org", "pills-online.test", "spam.example.com") for p in ("/", "/buy/cheap-now", "/win?bonus", "/en/728")]
-    + [(f"{h}{p}", 0) for h in ("news.example.org", "blog.writers.example.com", "www.library.test", "m.science.example.org", "docs.project.test", "en.wiki.example.com", "history.museum.test", "school.example.org", "weather.example.com", "www.theatre.test") for p in ("/", "/fr/1204", "/articles/2020/spring", "/en/95.html")]
-)
+#: What the labelled hosts are made of.
+SPAM = ("casino", "poker", "bets", "betting", "jackpot", "slots", "lottery", "pills", "pharma", "cheap", "discount", "replica", "loans", "payday", "free", "followers", "deals", "prize", "win", "adult", "dating", "torrent", "bonus", "spam", "click", "viagra", "earn-money")
+CLEAN = ("news", "blog", "library", "museum", "school", "university", "science", "weather", "history", "garden", "music", "theatre", "docs", "project", "wiki", "travel", "kitchen", "council", "hospital", "forum", "photos", "maps", "river", "city", "books", "archive", "parks")
+SYLLABLES = ("th", "er", "on", "in", "an", "re", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st")
+
+
+def labelled_rows() -> list[tuple[str, int]]:
+    """(address, 1 for spam): hosts made of neighbouring words of a list or of three syllables, each with a few paths."""
+    out = []
+    for label, words, paths in ((1, SPAM, ("/", "/buy/now", "/en/728", "/win?x")), (0, CLEAN, ("/", "/articles/2020/spring", "/en/95.html", "/fr/1204"))):
+        for i, w in enumerate(words):
+            second, third = words[(i + 1) % len(words)], words[(i + 7) % len(words)]
+            hosts = (f"{w}-{second}.example.com", f"www.{w}{third}.test", f"m.{third}-{w}.example.org", f"{w}.example.net")
+            out += [(f"{host}{paths[(i + k) % len(paths)]}", label) for k, host in enumerate(hosts)]
+    n = len(SYLLABLES)
+    out += [(f"{('', 'www.', 'm.', 'blog.')[i % 4]}{SYLLABLES[i % n]}{SYLLABLES[i * 7 % n]}{SYLLABLES[i * 3 // 2 % n]}.example.{('com', 'org', 'net')[i % 3]}/{('en', 'de', 'fr')[i // 3 % 3]}/{i * 131 % 9973}", 0) for i in range(60)]
+    return out
+
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,38 +56,52 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> t
 
 
 def _buckets(text: str) -> str:
-    """SQL for the distinct trigram buckets of a column, with a bound on either side."""
+    """SQL for the distinct n-gram buckets of a column, with a bound on either side; a text shorter than an n-gram is one."""
     t = f"concat('^', {text}, '$')"
-    code = lambda k: f"ascii(substring({t}, i + {k}, 1))"
-    return f"array_distinct(transform(sequence(1, length({t}) - 2), i -> cast(pmod({code(0)} * 7919L + {code(1)} * 104729L + {code(2)} * 1299709L, {BUCKETS}) as int)))"
+    bucket = lambda x: f"cast(pmod(xxhash64({x}), {BUCKETS}) as int)"
+    grams = [f"if(length({t}) < {n}, array({bucket(t)}), transform(sequence(1, greatest(1, length({t}) - {n - 1})), i -> {bucket(f'substring({t}, i, {n})')}))" for n in SIZES]
+    return f"array_distinct(concat({', '.join(grams)}))"
 
 
 def fit(labelled: DataFrame, epochs: int = EPOCHS) -> list[float]:
     """Weights of the buckets, then the bias, from (address, label). The table is small; it is gathered into one row.
 
-    An empty table gives weights of zero. Rows with nulls are left out.
+    An empty table gives weights of zero. Rows with nulls are left out. Only buckets that the table touches are worked on:
+    each row lists the places of its buckets, each bucket the rows that have it.
     """
     if epochs < 1:
         raise ValueError("epochs must be at least 1")
-    rows = labelled.where("address is not null and label in (0, 1)").select("label", F.expr(_buckets("address")).alias("b"))
-    dense = f"transform(sequence(0, {BUCKETS}), k -> if(k = {BUCKETS} or array_contains(b, k), if(k = {BUCKETS}, 1D, 1D / sqrt(size(b))), 0D))"
-    one = rows.select(F.struct(F.col("label").cast("double").alias("y"), F.expr(dense).alias("f")).alias("x")).agg(F.array_sort(F.collect_list("x")).alias("rows"))
-    dot = "aggregate(zip_with(w, x.f, (p, q) -> p * q), 0D, (s, v) -> s + v)"
-    errors = f"transform(rows, x -> named_struct('e', (1D / (1D + exp(-{dot})) - x.y) / size(rows), 'f', x.f))"
-    gradient = f"aggregate({errors}, cast(array_repeat(0D, {BUCKETS + 1}) as array<double>), (g, q) -> zip_with(g, q.f, (a, v) -> a + q.e * v))"
-    step = f"aggregate(sequence(1, {epochs}), cast(array_repeat(0D, {BUCKETS + 1}) as array<double>), (w, t) -> zip_with(w, {gradient}, (a, g) -> a * 0.999D - {RATE}D * g))"
-    return list(one.select(F.expr(step).alias("w")).first()["w"])
+    rows = labelled.where("address is not null and label in (0, 1)").select(F.col("label").cast("double").alias("y"), "address")
+    one = rows.agg(F.array_sort(F.collect_list(F.struct("address", "y"))).alias("rows")).select(F.posexplode("rows").alias("i", "x"))
+    one = one.select("i", F.col("x.y").alias("y"), F.expr(_buckets("x.address")).alias("b"))
+    lists = one.select("i", F.explode("b").alias("bucket"), (1 / F.sqrt(F.size("b"))).alias("v")).groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("who"))
+    lists = lists.agg(F.array_sort(F.collect_list(F.struct("bucket", "who"))).alias("lists")).select("lists", F.expr("map_from_arrays(transform(lists, x -> x.bucket), transform(lists, (x, k) -> k))").alias("place"))
+    texts = one.join(F.broadcast(lists.select("place"))).select("i", "y", F.expr("transform(b, k -> place[k])").alias("at"))  # one row
+    texts = texts.agg(F.array_sort(F.collect_list(F.struct("i", "y", "at"))).alias("rows"))
+    both = texts.join(F.broadcast(lists.select("lists")))  # one row
+    dot = "aggregate(x.at, 0D, (s, k) -> s + w[k]) / sqrt(size(x.at)) + w[size(lists)]"
+    errors = f"transform(rows, x -> (1D / (1D + exp(-({dot}))) - x.y) / size(rows))"
+    moved = f"transform(lists, (l, k) -> w[k] * 0.999D - {RATE}D * aggregate(l.who, 0D, (s, r) -> s + e[r.i] * r.v))"
+    bias = f"w[size(lists)] * 0.999D - {RATE}D * aggregate(e, 0D, (s, v) -> s + v)"
+    step = f"transform(array({errors}), e -> concat({moved}, array({bias})))[0]"
+    start = "cast(array_repeat(0D, size(lists) + 1) as array<double>)"
+    got = both.select(F.expr("transform(lists, x -> x.bucket)").alias("buckets"), F.expr(f"aggregate(sequence(1, {epochs}), {start}, (w, t) -> {step})").alias("w")).first()
+    weights = [0.0] * (BUCKETS + 1)
+    if got is not None:
+        for k, x in zip([*got["buckets"], BUCKETS], got["w"], strict=True):
+            weights[k] = x
+    return weights
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The labelled table: a local relation, no Python on the executors."""
-    values = ", ".join(f"('{u}', {y})" for u, y in LABELLED)
+    values = ", ".join(f"('{u}', {y})" for u, y in labelled_rows())
     return spark.sql(f"SELECT * FROM VALUES {values} AS t(address, label)")
 
 
-def spam_score(host: Column, path: Column, weights: list[float]) -> Column:
-    """Probability of spam, 0 to 1."""
-    row = F.array(*[F.lit(float(x)) for x in weights])
+def spam_score(weights: list[float]) -> Column:
+    """Probability of spam, 0 to 1, of the column _address."""
+    row = F.from_json(F.lit(json.dumps(weights)), "array<double>")  # a constant, folded once
     buckets = F.expr(_buckets("_address"))
     total = F.aggregate(buckets, F.lit(0.0), lambda s, k: s + F.element_at(row, k + 1)) / F.sqrt(F.size(buckets))
     return 1 / (1 + F.exp(-(total + F.lit(float(weights[-1])))))
@@ -81,11 +110,11 @@ def spam_score(host: Column, path: Column, weights: list[float]) -> Column:
 def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", cut: float = CUT) -> DataFrame:
     """id, host, path, rule (null if none fits), score and verdict (the rule's; else block from ``cut`` on).
 
-    A null url or one without ``://`` has an empty host and path and is judged by the model like any other. Rows are
+    A null url or one without ``://`` has an empty host and path and is judged by the model like any other, by its one n-gram. Rows are
     neither joined nor moved: repeated rows, null ids and other columns don't matter. Empty tables stay empty.
     """
     weights = fit(labelled if labelled is not None else labelled_urls(pages.sparkSession))
     rows = pages.select(F.col(id_col).alias("_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    rows = rows.withColumn("_address", F.concat("host", "path")).withColumn("score", spam_score(F.col("host"), F.col("path"), weights))
+    rows = rows.withColumn("_address", F.concat("host", "path")).withColumn("score", spam_score(weights))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return rows.select(F.col("_id").alias(id_col), "host", "path", rule.alias("rule"), "score", F.coalesce(verdict, F.when(F.col("score") >= cut, "block").otherwise("allow")).alias("verdict"))
