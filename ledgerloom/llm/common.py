@@ -2,30 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A word is a maximal run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='checkpoints-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from ledgerloom.operators.staging import materialize, ordered_prefix, scratch, shared_folder
 
+__all__ = ["WORD", "crc_bucket", "materialize", "ordered_prefix", "scratch", "shared_folder", "word_count"]
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
-    path = f"{shared_folder(df.sparkSession)}/ledgerloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A word is a maximal run of anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def word_count(text: Column) -> Column:
@@ -36,25 +21,3 @@ def word_count(text: Column) -> Column:
 def crc_bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n; null ids fall in bucket 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0)).cast("int")
-
-
-def ordered_prefix(df: DataFrame, order: list[Column], sums: dict[str, Column], rank: str, parts: int = 32) -> DataFrame:
-    """Global rank (from 1) and running sums *before* each row, without a single-task sort.
-
-    Rows are range-partitioned and written once, so that the bounds stay as they are; each partition numbers its own
-    rows; the offsets of earlier partitions (one row per partition) are added by a join on the partition number.
-    """
-    placed = materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
-    own = Window.partitionBy("_part").orderBy(*order)
-    before = own.rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.withColumn(rank, F.row_number().over(own).cast("long"))
-    for name, c in sums.items():
-        local = local.withColumn(name, F.coalesce(F.sum(c).over(before), F.lit(0)))
-    totals = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_o_{c}") for c in ["_rows", *[f"_t_{n}" for n in sums]]])
-    out = local.join(F.broadcast(offsets), "_part")  # at most `parts` rows
-    out = out.withColumn(rank, F.col(rank) + F.col("_o__rows"))
-    for name in sums:
-        out = out.withColumn(name, F.col(name) + F.col(f"_o__t_{name}"))
-    return out.drop("_part", *[c for c in offsets.columns if c != "_part"])
