@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import materialize, ordered_prefix, word_count
 
 WEIGHTS, MOST, SEED = (1, 2, 3), 3, 20240
-#: Sources up to which the table of targets is broadcast (a name of up to 200 bytes each); beyond it, a salted join.
-BROADCAST_SOURCES, SALTS = 10_000, 64
+#: Sources, and bytes of their names, up to which the table of targets is broadcast; beyond either, a salted join.
+BROADCAST_SOURCES, BROADCAST_BYTES, SALTS = 10_000, 2 << 20, 64
 
 
 def targets(docs: DataFrame, source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -48,7 +48,8 @@ def _taken(docs: DataFrame, seed: int, id_col: str, source_col: str, text_col: s
     """_id, _size, _source_size, _target, _copies and _k0, _k1, ... for the columns in ``keep``."""
     goals = materialize(targets(docs, source_col, text_col, weights, most)).toDF("_source", "_source_size", "_target")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_from"), word_count(F.col(text_col)).alias("_size"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
-    if goals.count() <= BROADCAST_SOURCES:
+    extent = goals.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("_source")), F.lit(0)).alias("bytes")).first()
+    if extent["n"] <= BROADCAST_SOURCES and extent["bytes"] <= BROADCAST_BYTES:
         met = rows.join(F.broadcast(goals), F.col("_from").eqNullSafe(F.col("_source")))
     else:
         salted = goals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
