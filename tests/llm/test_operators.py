@@ -392,6 +392,27 @@ def test_segmentations_are_drawn_without_replacement():
         assert abs(first[s] / n - p[s]) < 5 * math.sqrt(p[s] / n) + 1e-3 and abs(second[s] / n - other) < 5 * math.sqrt(other / n) + 1e-3
 
 
+def test_third_draws_and_inclusion_scores():
+    """Three of the segmentations of two words: the third's distribution, and sums of p over inclusion probability that are 1 on average."""
+    v = segmenting.load()
+    flat = v._replace(logp=np.where(v.kinds == 0, v.logp / 8, v.logp))
+    text, n = "an it", 5000
+    every: dict[tuple, float] = {}
+    for _, _, ids, phi, inc in segmenting.sample_texts([text], np.array([3], np.uint64), flat, 500):
+        assert tuple(map(int, ids)) not in every and inc == 0.0  # there are fewer: all come, for sure
+        every[tuple(map(int, ids))] = math.exp(phi)
+    assert 6 < len(every) < 100 and math.isclose(sum(every.values()), 1, abs_tol=1e-9) and {segmenting.decode(s, v) for s in every} == {text}
+    third, weight = Counter(), np.zeros(n)
+    for i, s, ids, phi, inc in segmenting.sample_texts([text] * n, np.arange(n, dtype=np.uint64), flat, 3):
+        weight[i] += math.exp(phi - inc)
+        if s == 3:
+            third[tuple(map(int, ids))] += 1
+    assert abs(weight.mean() - 1) < 5 * weight.std() / math.sqrt(n)
+    for x, p in every.items():
+        want = sum(q * r / (1 - q) * p / (1 - q - r) for (a, q), (b, r) in itertools.permutations(every.items(), 2) if x not in (a, b))
+        assert abs(third[x] / n - want) < 5 * math.sqrt(want / n) + 1e-3
+
+
 def test_pieces_decode_and_differ(docs):
     v = segmenting.load()
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
