@@ -79,11 +79,10 @@ def file_year(name: Column) -> Column:
 
 def robust_date(text: Column) -> Column:
     """Day-first, mixed formats, a time of day behind the date left out; two-digit years from 69 on are 19xx; null if none fits."""
-    day = F.regexp_replace(trim_all(text), r"(?<=\d)[T ]+\d{1,2}:\d{2}.*$", "")
     formats = ("yyyy-MM-dd", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d MMM yyyy", "d-MMM-yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyy/M/d", "yyyyMMdd")
-    short = F.coalesce(*[F.try_to_timestamp(day, F.lit(f)).cast("date") for f in ("d/M/yy", "d-M-yy", "d.M.yy", "d MMM yy", "d-MMM-yy")])
-    short = F.when(F.year(short) > 2068, F.add_months(short, -1200)).otherwise(short)
-    return F.coalesce(*[F.try_to_timestamp(day, F.lit(f)).cast("date") for f in formats], short)
+    parsed = lambda day, these: F.coalesce(*[F.try_to_timestamp(day, F.lit(f)).cast("date") for f in these])
+    short = lambda day: _let(parsed(day, ("d/M/yy", "d-M-yy", "d.M.yy", "d MMM yy", "d-MMM-yy")), lambda x: F.when(F.year(x) > 2068, F.add_months(x, -1200)).otherwise(x))
+    return _let(F.regexp_replace(trim_all(text), r"(?<=\d)[T ]+\d{1,2}:\d{2}.*$", ""), lambda day: F.coalesce(parsed(day, formats), short(day)))
 
 
 def absolute_url(link: Column, base: Column) -> Column:
