@@ -33,6 +33,8 @@ K, SEED = 2, 11
 PIECE_CHARS = 1 << 18
 #: Characters of distinct units up to which their lattices are kept for later texts (about 100 bytes each).
 KEPT_CHARS = 1 << 20
+#: Characters whose ways are summed as probabilities: at worst four bytes of a probability of e**-14 each.
+_NEAR = 12
 _SPACE = "▁"
 _UNIT = re.compile(f"{_SPACE}*[^{_SPACE}\n]+|{_SPACE}+|\n")
 _ALL = 2**64 - 1
@@ -48,6 +50,7 @@ class Vocabulary(NamedTuple):
     slots: list[np.ndarray]  # by some bits of the hash: 1 + the place in ``starts`` of one that has them, or 0
     logp: np.ndarray
     byte_ids: np.ndarray
+    one: np.ndarray  # for each character, its place in starts[0], or -1
 
 
 def _hash_chars(chars: np.ndarray) -> np.ndarray:
@@ -91,7 +94,10 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
     slots = [np.zeros(1 << 18, np.int32) for _ in tables]
     for table, h in zip(slots, hashes, strict=True):
         table[_bits(h)] = np.arange(1, len(h) + 1)
-    return Vocabulary(pieces, kinds, hashes, ids, longer, slots, logp, byte_ids)
+    singles = (hashes[0] - np.uint64(1)).astype(np.int64)  # the hash of one character is its code point and one
+    one = np.full(int(singles.max()) + 1, -1, np.int32)
+    one[singles] = np.arange(len(singles))
+    return Vocabulary(pieces, kinds, hashes, ids, longer, slots, logp, byte_ids, one)
 
 
 def _bits(h: np.ndarray) -> np.ndarray:
@@ -122,13 +128,21 @@ class Lattice:
     def __init__(self, units: list[str], v: Vocabulary):
         self.known: defaultdict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
-        self.v, self.nodes, self._done = v, 0, 0
+        self.v = v
         self._tables = {"root": _Table(np.int64), "first": _Table(np.int32), "logprob": _Table(np.float64), "prob": _Table(np.float64), "cum": _Table(np.float64), "to": _Table(np.int32), "piece": _Table(np.int32)}
-        self._tables["first"].add(np.zeros(1, np.int32))
+        self.clear()
         for u in units:
             self.known[u]
         self.extend()
 
+    def clear(self) -> None:
+        """Forget all units; the tables' memory stays."""
+        self.known.clear()
+        self.nodes = self._done = 0
+        for t in self._tables.values():
+            t.size = 0
+        self._tables["first"].add(np.zeros(1, np.int32))
+
     def extend(self) -> None:
         """Lattices of the units that have become known since the last call."""
         new = list(islice(self.known, self._done, None))
@@ -147,69 +161,85 @@ class Lattice:
         end = np.repeat(root + size, size)
         n = len(chars)
         codes = _hash_chars(chars)
-        live, h = np.arange(n, dtype=np.int32), np.zeros(n, np.uint64)
-        src, dst, piece, score = [], [], [], []
+        live, h = np.arange(n, dtype=np.int32), codes
+        src, piece = [], []
         for m in range(1, len(v.starts) + 1):
-            ok = live + m <= end[live]
-            live, h = live[ok], h[ok]
-            h = h * _BASE + codes[live + m - 1]
-            at = v.slots[m - 1][_bits(h)]
-            likely = np.flatnonzero(at)
-            x, at = h[likely], at[likely] - 1
-            other = np.flatnonzero(v.starts[m - 1][at] != x)  # another one has that slot
-            at[other] = np.minimum(np.searchsorted(v.starts[m - 1], x[other]), len(v.starts[m - 1]) - 1)
-            same = v.starts[m - 1][at] == x
-            likely, at = likely[same], at[same]
+            if m == 1:
+                at = np.where(chars < len(v.one), v.one[np.minimum(chars, len(v.one) - 1)], -1)
+                likely = np.flatnonzero(at >= 0)
+                at = at[likely]
+            else:
+                ok = live + m <= end[live]
+                live, h = live[ok], h[ok]
+                h = h * _BASE + codes[live + m - 1]
+                at = v.slots[m - 1][_bits(h)]
+                likely = np.flatnonzero(at)
+                x, at = h[likely], at[likely] - 1
+                same = v.starts[m - 1][at] == x
+                other = np.flatnonzero(~same)  # another one has that slot
+                at[other] = np.minimum(np.searchsorted(v.starts[m - 1], x[other]), len(v.starts[m - 1]) - 1)
+                same[other] = v.starts[m - 1][at[other]] == x[other]
+                likely, at = likely[same], at[same]
             found = v.ids[m - 1][at]
             hit = found >= 0
             src.append(live[likely[hit]])
-            dst.append(src[-1] + m)
             piece.append(found[hit])
-            score.append(v.logp[piece[-1]])
-            if m == 1:
+            if m == 1:  # a character that is no piece is its bytes
                 known = np.zeros(n, bool)
                 known[src[0]] = True
                 bare = np.flatnonzero(~known)
-                width = 1 + (chars[bare] > 0x7F).astype(int) + (chars[bare] > 0x7FF) + (chars[bare] > 0xFFFF)
-                src.append(bare)
-                dst.append(bare + 1)
-                piece.append(-1 - chars[bare].astype(np.int64))
-                score.append(v.logp[v.byte_ids[0]] * width)
+                src[0], piece[0] = np.concatenate((src[0], bare)), np.concatenate((piece[0], -1 - chars[bare].astype(np.int64)))
             likely = likely[v.more[m - 1][at]]
             live, h = live[likely], h[likely]
         # Each length's edges are in order of their nodes: placed by a cursor for each node, without a sort.
         counts = np.bincount(np.concatenate(src), minlength=n)
         first = np.concatenate(([0], np.cumsum(counts)))
         cursor = first[:-1].copy()
-        m = int(first[-1])
-        out = np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m)
-        for group in zip(src, dst, piece, score, strict=True):
-            at = cursor[group[0]]
-            cursor[group[0]] += 1
-            for table, values in zip(out, group, strict=True):
-                table[at] = values
-        src, dst, piece, score = out
-        beta = np.zeros(n + 1)
+        own, length = np.empty(first[-1], np.int32), np.empty(first[-1], np.uint8)
+        for m, (node, found) in enumerate(zip(src, piece, strict=True), 1):
+            at = cursor[node]
+            cursor[node] += 1
+            own[at], length[at] = found, m
+        src, piece = np.repeat(np.arange(n), counts), own
+        score = v.logp[np.maximum(piece, 0)]
+        bare = np.flatnonzero(piece < 0)
+        code = -1 - piece[bare]
+        score[bare] = v.logp[v.byte_ids[0]] * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
+        dst = src + length
         inside = dst < end[src]
+        goal = np.where(inside, dst, n)
+        # Sums over all ways to the unit's end, from the end on: nodes by their distance to it, their edges side by side.
         left = end - np.arange(n)
         order = np.argsort(left.astype(np.uint16) if left.max(initial=0) < 1 << 16 else left, kind="stable")
         stops = np.searchsorted(left[order], np.arange(1, left.max(initial=0) + 2))
+        k = counts[order]
+        begin = np.concatenate(([0], np.cumsum(k)))
+        e = np.repeat(first[:-1][order] - begin[:-1], k) + np.arange(begin[-1])
+        w, to = score[e], goal[e]
+        beta, near = np.zeros(n + 1), min(_NEAR, len(stops) - 1)
+        ways, w[: begin[stops[near]]] = np.ones(n + 1), np.exp(w[: begin[stops[near]]])
         for d in range(len(stops) - 1):
             nodes = order[stops[d] : stops[d + 1]]
             if not len(nodes):
                 continue
-            k = counts[nodes]
-            e = np.repeat(first[nodes] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())
-            w = score[e] + np.where(inside[e], beta[np.minimum(dst[e], n)], 0.0)
-            starts = np.concatenate(([0], np.cumsum(k)[:-1]))
-            top = np.maximum.reduceat(w, starts)
-            beta[nodes] = top + np.log(np.add.reduceat(np.exp(w - np.repeat(top, k)), starts))
-        logprob = score + np.where(inside, beta[np.minimum(dst, n)], 0.0) - beta[src]
+            x, y = begin[stops[d]], begin[stops[d + 1]]
+            starts = begin[stops[d] : stops[d + 1]] - x
+            if d < near:  # so few characters can't underflow
+                ways[nodes] = np.add.reduceat(w[x:y] * ways[to[x:y]], starts)
+                if d == near - 1:
+                    known = order[: stops[near]]
+                    beta[known] = np.log(ways[known])
+                continue
+            own = w[x:y] + beta[to[x:y]]
+            top = np.maximum.reduceat(own, starts)
+            beta[nodes] = top + np.log(np.add.reduceat(np.exp(own - np.repeat(top, k[stops[d] : stops[d + 1]])), starts))
+        logprob = score + beta[goal] - beta[src]
         prob = np.exp(logprob)
-        cum = prob.copy()
-        for j in range(1, int(counts.max(initial=0))):  # node by node, so that sums don't depend on what else is in the table
-            e = first[:-1][counts > j] + j
-            cum[e] += cum[e - 1]
+        cum, at, j = prob.copy(), np.flatnonzero(counts > 1), 1
+        while len(at):  # node by node, so that sums don't depend on what else is in the table
+            cum[first[at] + j] += cum[first[at] + j - 1]
+            j += 1
+            at = at[counts[at] > j]
         t, nodes, edges = self._tables, self.nodes, self._tables["to"].size
         t["root"].add(root + nodes)
         t["first"].add(first[1:] + edges)
@@ -290,10 +320,11 @@ def _less(a: float, b: float) -> float:
 
 
 class _Path:
-    """A segmentation: its edges, the words they belong to, and the log-probabilities ahead of each decision and behind the last."""
+    """A segmentation: its edges, the words they belong to, their pieces, and the log-probabilities ahead of each decision and
+    behind the last."""
 
-    def __init__(self, edges: np.ndarray, word: np.ndarray, gains: np.ndarray):
-        self.edges, self.word = edges, word
+    def __init__(self, edges: np.ndarray, word: np.ndarray, pieces: np.ndarray, gains: np.ndarray):
+        self.edges, self.word, self.pieces = edges, word, pieces
         self.ahead = np.zeros(len(gains) + 1)
         np.cumsum(gains, out=self.ahead[1:])
         self.phi = float(self.ahead[-1])
@@ -307,18 +338,21 @@ class _Path:
         return low + min(int(np.searchsorted(start - ahead[low + 1 : high + 1], -limit, side="left")), high - low - 1)
 
 
-def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K, lat: Lattice | None = None) -> Iterator[tuple[int, int, list[int], float, float]]:
-    """(text, number from 1, piece ids, log-probability, log of the inclusion probability), best perturbed score first."""
-    lat = lat or Lattice([], v)
-    known = lat.known
+def _units(texts: list[str], known: defaultdict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(the units of all texts, by number; how many each text has)"""
     flat: list[int] = []
-    count = np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
+    ends = [0]
+    for t in texts:
         if t:
-            before = len(flat)
             flat.extend(map(known.__getitem__, _UNIT.findall(_SPACE + t.replace(" ", _SPACE))))
-            count[i] = len(flat) - before
-    unit = np.array(flat, np.int64)
+        ends.append(len(flat))
+    return np.fromiter(flat, np.int64, len(flat)), np.diff(ends)
+
+
+def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K, lat: Lattice | None = None) -> Iterator[tuple[int, int, list[int], float, float]]:
+    """(text, number from 1, piece ids, log-probability, log of the inclusion probability), best perturbed score first."""
+    lat = lat or Lattice([], v)
+    unit, count = _units(texts, lat.known)
     if not len(unit):
         for i in range(len(texts)):
             yield i, 1, [], 0.0, 0.0
@@ -331,7 +365,8 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
     for s in range(k):
         e, steps = lat.sample(unit, order, _int(keys, s)[owner] + _C1 * place.astype(np.uint64))
         bounds = np.concatenate(([0], np.cumsum(np.bincount(owner, steps, len(texts)).astype(np.int64))))
-        samples.append((e, np.repeat(place.astype(np.int32), steps), bounds))
+        samples.append((e, np.repeat(place.astype(np.int32), steps), bounds, lat.piece[e], lat.logprob[e]))
+    plain = bool(lat.piece.min(initial=0) >= 0)
     for i in range(len(texts)):
         if not count[i]:
             yield i, 1, [], 0.0, 0.0
@@ -343,10 +378,9 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
         # is all paths that leave the path at a decision between the two, or, with pieces taken, those that take none of them.
         groups: list[tuple[float, int, int, int, tuple]] = []
         for s in range(k):
-            e, at, b = samples[s]
-            own, word = e[b[i] : b[i + 1]], at[b[i] : b[i + 1]]
+            own, word, pieces, gains = (x[samples[s][2][i] : samples[s][2][i + 1]] for x in (samples[s][0], samples[s][1], *samples[s][3:]))
             if s == 0:
-                paths.append(_Path(own, word, lat.logprob[own]))
+                paths.append(_Path(own, word, pieces, gains))
                 groups.append((_gumbel(_less(0.0, paths[0].phi), top, _one(key, 5001, 0)), 0, 0, len(own), ()))
                 continue
             groups.sort(reverse=True)
@@ -372,12 +406,18 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
                 node, step = int(lat.to[tail[-1]]), step + 1
             w = old.word[t]
             cut = int(np.searchsorted(word, w, side="right"))
-            own = np.concatenate((old.edges[:t], np.array(tail, np.int32), own[cut:]))
-            word = np.concatenate((old.word[:t], np.full(len(tail), w, np.int32), word[cut:])) if s < k - 1 else word[:0]  # the last is never split
-            new = _Path(own, word, lat.logprob[own])
-            paths.append(new)
+            joined = lambda head, new, rest: np.concatenate((head[:t], new, rest[cut:]))  # noqa: B023, E731
+            ends, size = np.array(tail, np.int32), t + len(tail) + len(own) - cut
+            pieces = joined(old.pieces, lat.piece[ends], pieces)
+            behind = float(old.ahead[t]) + float(lat.logprob[pick])
+            if s < k - 1:
+                paths.append(_Path(joined(old.edges, ends, own), joined(old.word, np.full(len(tail), w, np.int32), word), pieces, joined(np.diff(old.ahead), lat.logprob[ends], gains)))
+                phi = paths[-1].phi
+            else:  # the last is never split: its probability will do
+                paths.append(_Path(own[:0], word[:0], pieces, gains[:0]))
+                phi = paths[-1].phi = behind + float(np.add.reduce(lat.logprob[ends[1:]])) + float(np.add.reduce(gains[cut:]))
             rest = math.log(max(share[-1] - float(lat.prob[pick]), 0.0) or 1e-320) if len(others) > 1 else -math.inf
-            parts = [(float(old.ahead[t]) + rest, p, t, t + 1, (*(taken or (a,)), pick)), (_less(float(new.ahead[t + 1]), new.phi), s, t + 1, len(own), ())]
+            parts = [(float(old.ahead[t]) + rest, p, t, t + 1, (*(taken or (a,)), pick)), (_less(behind, phi), s, t + 1, size, ())]
             if not taken:
                 parts += [(_less(float(old.ahead[low]), float(old.ahead[t])), p, low, t, ()), (_less(float(old.ahead[t + 1]), float(old.ahead[high])), p, t + 1, high, ())]
             groups += [(_gumbel(location, bound, _one(key, 3001, s, j)), *group) for j, (location, *group) in enumerate(parts)]
@@ -386,10 +426,11 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
             phi = p.phi
             rate = phi - limit
             include = 0.0 if limit == -math.inf else (math.log(-math.expm1(-math.exp(min(rate, 700.0)))) if rate > -30 else rate)
-            found = lat.piece[p.edges]
-            if found.min() >= 0:
+            found = p.pieces
+            least = 0 if plain else found.min()
+            if least >= 0:
                 out = found
-            elif found.min() >= -128:  # signs of one byte
+            elif least >= -128:  # signs of one byte
                 out = np.where(found < 0, v.byte_ids[np.where(found < 0, -1 - found, 0)], found)
             else:
                 out = []
@@ -446,7 +487,7 @@ def _encoder(v: Vocabulary, k: int, names: list[str]):
         for whole in batches:
             for batch in slices(whole, PIECE_CHARS):
                 if lat.nodes > KEPT_CHARS:
-                    lat = Lattice([], v)
+                    lat.clear()
                 keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
                 rows, number, ids, logs, inclusion = [], [], [], [], []
                 for i, s, x, phi, inc in sample_texts([t or "" for t in batch.column(0).to_pylist()], keys, v, k, lat):
