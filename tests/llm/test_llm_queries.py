@@ -24,7 +24,7 @@ def test_same_as_sql(spark, name):
 
 
 def test_one_query_each():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
 
 
 def test_stages_keep_columns(spark):
