@@ -12,6 +12,9 @@ dealt.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
 import re
 from bisect import bisect_right
@@ -33,6 +36,8 @@ K, SEED = 2, 11
 PIECE_CHARS = 1 << 18
 #: Characters of distinct units up to which their lattices are kept for later texts (about 100 bytes each).
 KEPT_CHARS = 1 << 20
+#: Characters of units whose lattices are built together; a longer unit is built alone.
+BUILT_CHARS = 1 << 15
 #: Characters whose ways are summed as probabilities: at worst four bytes of a probability of e**-14 each.
 _NEAR = 12
 _SPACE = "▁"
@@ -91,7 +96,7 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
     hashes = [np.array(t, np.uint64) for t in tables]
     ids = [np.array([own.get(h, -1) for h in t], np.int64) for t in tables]
     longer = [np.array([h in inner for h in t], bool) for t in tables]
-    slots = [np.zeros(1 << 18, np.int32) for _ in tables]
+    slots = [np.zeros(1 << 18, np.min_scalar_type(len(h))) for h in hashes]
     for table, h in zip(slots, hashes, strict=True):
         table[_bits(h)] = np.arange(1, len(h) + 1)
     singles = (hashes[0] - np.uint64(1)).astype(np.int64)  # the hash of one character is its code point and one
@@ -122,14 +127,15 @@ class _Table:
 
 class Lattice:
     """Lattices of distinct units, which stay from one piece of text to the next. Node i: a character position; edges of a
-    node are first[i]:first[i + 1], ``prob`` given the node, ``to`` its end (-1 behind the unit), ``piece`` (negative: the
-    bytes of a character, -1 - code point). ``nodes`` is the number of characters held."""
+    node are first[i]:first[i + 1], ``logprob`` given the node, ``cum`` the running sum of the node's probabilities, ``to``
+    its end (-1 behind the unit), ``piece`` (negative: the bytes of a character, -1 - code point). ``nodes`` is the number
+    of characters held."""
 
     def __init__(self, units: list[str], v: Vocabulary):
         self.known: defaultdict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
         self.v = v
-        self._tables = {"root": _Table(np.int64), "first": _Table(np.int32), "logprob": _Table(np.float64), "prob": _Table(np.float64), "cum": _Table(np.float64), "to": _Table(np.int32), "piece": _Table(np.int32)}
+        self._tables = {"root": _Table(np.int64), "first": _Table(np.int32), "logprob": _Table(np.float64), "cum": _Table(np.float64), "to": _Table(np.int32), "piece": _Table(np.int32)}
         self.clear()
         for u in units:
             self.known[u]
@@ -146,9 +152,13 @@ class Lattice:
     def extend(self) -> None:
         """Lattices of the units that have become known since the last call."""
         new = list(islice(self.known, self._done, None))
-        if new:
-            self._build(new)
-            self._done = len(self.known)
+        ends = np.cumsum([len(u) for u in new])
+        at = 0
+        while at < len(new):  # a part at a time, as building one takes far more memory than it does afterwards
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BUILT_CHARS, side="right")))
+            self._build(new[at:stop])
+            at = stop
+        self._done = len(self.known)
         for name, t in self._tables.items():
             setattr(self, name, t.data[: t.size])
 
@@ -174,7 +184,7 @@ class Lattice:
                 h = h * _BASE + codes[live + m - 1]
                 at = v.slots[m - 1][_bits(h)]
                 likely = np.flatnonzero(at)
-                x, at = h[likely], at[likely] - 1
+                x, at = h[likely], at[likely].astype(np.int64) - 1
                 same = v.starts[m - 1][at] == x
                 other = np.flatnonzero(~same)  # another one has that slot
                 at[other] = np.minimum(np.searchsorted(v.starts[m - 1], x[other]), len(v.starts[m - 1]) - 1)
@@ -233,9 +243,9 @@ class Lattice:
             own = w[x:y] + beta[to[x:y]]
             top = np.maximum.reduceat(own, starts)
             beta[nodes] = top + np.log(np.add.reduceat(np.exp(own - np.repeat(top, k[stops[d] : stops[d + 1]])), starts))
-        logprob = score + beta[goal] - beta[src]
-        prob = np.exp(logprob)
-        cum, at, j = prob.copy(), np.flatnonzero(counts > 1), 1
+        logprob = np.minimum(score + beta[goal] - beta[src], 0.0)
+        logprob[first[:-1][counts == 1]] = 0.0  # without a choice exactly so: by rounding there would be other paths
+        cum, at, j = np.exp(logprob), np.flatnonzero(counts > 1), 1
         while len(at):  # node by node, so that sums don't depend on what else is in the table
             cum[first[at] + j] += cum[first[at] + j - 1]
             j += 1
@@ -244,7 +254,6 @@ class Lattice:
         t["root"].add(root + nodes)
         t["first"].add(first[1:] + edges)
         t["logprob"].add(logprob)
-        t["prob"].add(prob)
         t["cum"].add(cum)
         t["to"].add(np.where(inside, dst + nodes, -1))
         t["piece"].add(piece)
@@ -277,7 +286,7 @@ class Lattice:
             node = self.to[e]
             on = np.flatnonzero(node >= 0)
             e = e[on]
-            u = np.clip((u[on] - self.cum[e]) / self.prob[e] + 1.0, 0.0, 1.0 - 2.0**-53)
+            u = np.clip((u[on] - self.cum[e]) / np.exp(self.logprob[e]) + 1.0, 0.0, 1.0 - 2.0**-53)
             live, node = live[on], node[on]
             step += 1
         offset = np.concatenate(([0], np.cumsum(steps)))
@@ -397,7 +406,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
                 a = int(old.edges[t])
                 node = int(np.searchsorted(lat.first, np.int32(a), side="right")) - 1
                 others = [x for x in range(int(lat.first[node]), int(lat.first[node + 1])) if x != a]
-            share = list(accumulate(lat.prob[others].tolist()))
+            share = list(accumulate(np.exp(lat.logprob[others]).tolist()))
             pick = others[min(bisect_right(share, _one(key, 2001, s) * share[-1]), len(others) - 1)]
             tail, node, step = [pick], int(lat.to[pick]), 0
             while node >= 0:  # to the end of this unit
@@ -412,11 +421,11 @@ def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, k: int = K,
             behind = float(old.ahead[t]) + float(lat.logprob[pick])
             if s < k - 1:
                 paths.append(_Path(joined(old.edges, ends, own), joined(old.word, np.full(len(tail), w, np.int32), word), pieces, joined(np.diff(old.ahead), lat.logprob[ends], gains)))
-                phi = paths[-1].phi
+                behind, phi = float(paths[-1].ahead[t + 1]), paths[-1].phi  # of one sum, so that they are equal if nothing is left to choose
             else:  # the last is never split: its probability will do
                 paths.append(_Path(own[:0], word[:0], pieces, gains[:0]))
                 phi = paths[-1].phi = behind + float(np.add.reduce(lat.logprob[ends[1:]])) + float(np.add.reduce(gains[cut:]))
-            rest = math.log(max(share[-1] - float(lat.prob[pick]), 0.0) or 1e-320) if len(others) > 1 else -math.inf
+            rest = math.log(max(share[-1] - float(np.exp(lat.logprob[pick])), 0.0) or 1e-320) if len(others) > 1 else -math.inf
             parts = [(float(old.ahead[t]) + rest, p, t, t + 1, (*(taken or (a,)), pick)), (_less(behind, phi), s, t + 1, size, ())]
             if not taken:
                 parts += [(_less(float(old.ahead[low]), float(old.ahead[t])), p, low, t, ()), (_less(float(old.ahead[t + 1]), float(old.ahead[high])), p, t + 1, high, ())]
@@ -481,8 +490,17 @@ def model_file(spark: SparkSession) -> str:
     return spark.conf.get("spark.ledgerloom.pieces", MODEL_PATH)
 
 
+def _give_back() -> None:
+    """Memory that is free but still held by this worker goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # of glibc alone
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _encoder(v: Vocabulary, k: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()  # the worker may have served other stages
         lat = Lattice([], v)
         for whole in batches:
             for batch in slices(whole, PIECE_CHARS):
@@ -500,6 +518,9 @@ def _encoder(v: Vocabulary, k: int, names: list[str]):
                 tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
                 keep = [batch.column(j).take(pa.array(rows, pa.int64())) for j in range(2, batch.num_columns)]
                 yield pa.record_batch([*keep, pa.array(number, pa.int32()), tokens, pa.array(logs, pa.float64()), pa.array(inclusion, pa.float64())], names=[*names, "sample", "token_ids", "log_prob", "log_inclusion"])
+                del batch, keys, rows, number, ids, logs, inclusion, offsets, tokens, keep
+            del whole  # else it stays while the next one is read
+            _give_back()
 
     return run
 

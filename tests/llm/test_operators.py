@@ -413,6 +413,22 @@ def test_third_draws_and_inclusion_scores():
         assert abs(third[x] / n - want) < 5 * math.sqrt(want / n) + 1e-3
 
 
+def test_texts_with_few_segmentations():
+    """All segmentations come, once each, however sums round: of texts without a choice (an IndexError before), and of others with
+    fewer than are asked for."""
+    v, n = segmenting.load(), 200
+    for text in ["Ç.", "Ê!", "ç.", "Ñ.", "ñ", "\uffff", "\ufffd", "ﷺ", "ß! Ç.", "\n中\n"]:
+        found = [(i, s, phi, inc) for i, s, ids, phi, inc in segmenting.sample_texts([text] * n, np.arange(n, dtype=np.uint64), v, 2) if segmenting.decode(ids, v) == text]
+        assert found == [(i, 1, 0.0, 0.0) for i in range(n)]
+    for text in ["x", "Ç. é", "ß! x Ç. é", "\ufffd the"]:
+        sets = defaultdict(list)
+        for i, _, ids, phi, inc in segmenting.sample_texts([text] * 30, np.arange(30, dtype=np.uint64), v, 60):
+            assert inc == 0.0 and segmenting.decode(ids, v) == text
+            sets[i].append((tuple(map(int, ids)), math.exp(phi)))
+        every = {s for s, _ in sets[0]}
+        assert 1 < len(every) < 60 and all(len(x) == len(every) and {s for s, _ in x} == every and math.isclose(sum(p for _, p in x), 1, abs_tol=1e-9) for x in sets.values())
+
+
 def test_pieces_decode_and_differ(docs):
     v = segmenting.load()
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
